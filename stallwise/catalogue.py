@@ -202,8 +202,7 @@ def dq_outlier_log(spark, sf):
 
 
 def dq_outlier_flags(spark, sf):
-    flagged = outliers.flag_outliers(fx.items(spark, sf), "price", deviations=fx.PRICE_DEVIATIONS)
-    return flagged.select("order_id", "order_item_id", "price", outliers.IS_OUTLIER)
+    return fx.flagged_items(spark, sf).select("order_id", "order_item_id", "price", outliers.IS_OUTLIER)
 
 
 def dq_outlier_flags_log(spark, sf):
@@ -222,13 +221,13 @@ def dq_fence_comparison(spark, sf):
 
 
 def dq_audit(spark, sf):
-    items = outliers.flag_outliers(fx.items(spark, sf), "price", deviations=fx.PRICE_DEVIATIONS)
+    items = fx.flagged_items(spark, sf)
     return audit.audit(fx.orders(spark, sf), fx.products(spark, sf), fx.reviews(spark, sf), items)
 
 
 def _run(spark, sf):
     return quality.run_quality(
-        fx.entities(spark, sf), quality.rule_sets(fx.CARD), outliers={"deviations": fx.PRICE_DEVIATIONS}
+        fx.Entities(spark, sf), quality.rule_sets(fx.CARD), outliers={"deviations": fx.PRICE_DEVIATIONS}
     )
 
 

@@ -1,11 +1,11 @@
 """Exact quantiles, running totals and summaries without collecting the values anywhere.
 
-Values are first reduced to distinct levels with counts, so any number of equal values is one row.
-Levels are then split by magnitude: a bucket is a fixed function of the value alone, which keeps
-the split identical wherever the plan is evaluated. Running totals over buckets plus running
-totals inside a bucket give the running totals over all levels. For amounts of type
-decimal(18,2) there are at most 42 * 4096 buckets (ln of 0.01 to 1e16), whatever the data size:
-that table may be ordered in one task and broadcast.
+Values are split by magnitude: the bucket is a fixed function of the value alone, so the split is
+the same wherever and however often the plan is evaluated. Rows are summed per bucket on the map
+side; for amounts of type decimal(18,2) there are at most 42 * 4096 buckets (ln of 0.01 to 1e16),
+whatever the data size, so the bucket table may be ordered in one task and broadcast. Only the
+buckets that a wanted position falls into are looked at value by value, and there equal values
+are one row. A quantile thus costs two scans and shuffles a few buckets, never all values.
 """
 
 from __future__ import annotations
@@ -30,64 +30,68 @@ def magnitude_bucket(value: Column) -> Column:
     return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0).cast("bigint"))
 
 
-def value_levels(df: DataFrame, value: Column) -> DataFrame:
-    """Distinct non-NULL values with their counts: columns ``value`` and ``n``."""
-    return (
-        df.select(value.alias("value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def value_rows(df: DataFrame, value: Column, with_amount: bool = False) -> DataFrame:
+    """Non-NULL values as ``value``, each with weight ``n`` = 1 and, if asked for, its ``amount``."""
+    rows = df.select(value.alias("value")).filter(F.col("value").isNotNull())
+    rows = rows.withColumn("n", F.lit(1).cast("bigint"))
+    return rows.withColumn("amount", F.col("value")) if with_amount else rows
+
+
+def _bucketed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_bucket", magnitude_bucket(F.col("value")))
 
 
 def bucket_offsets(bucketed: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
     """Per bucket: its own totals, the totals of the buckets before it, and the grand totals."""
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    everything = W.partitionBy(F.lit(0))
+    everything = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     per_bucket = bucketed.groupBy("_bucket").agg(*[F.sum(w).alias(f"in_{w}") for w in weights])
-    zero = {w: per_bucket.schema[f"in_{w}"].dataType for w in weights}
-    out = per_bucket
+    columns = {}
     for w in weights:
-        out = out.withColumn(
-            f"off_{w}", F.coalesce(F.sum(f"in_{w}").over(before), F.lit(0).cast(zero[w]))
-        ).withColumn(f"all_{w}", F.sum(f"in_{w}").over(everything))
-    return out
-
-
-def _inside_buckets(bucketed: DataFrame, offsets: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
-    """Join bounded offsets to the levels and add ``before_<w>``: the total of all earlier levels."""
+        zero = F.lit(0).cast(per_bucket.schema[f"in_{w}"].dataType)
+        columns[f"off_{w}"] = F.coalesce(F.sum(f"in_{w}").over(before), zero)
+        columns[f"all_{w}"] = F.sum(f"in_{w}").over(everything)
+    return per_bucket.withColumns(columns)
+
+
+def _levels(bucketed: DataFrame, offsets: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
+    """Distinct values of the given buckets with their weights and ``before_<w>``, the total of all
+    earlier values. ``offsets`` has a bounded number of rows, see above."""
+    carried = [f"{kind}_{w}" for w in weights for kind in ("off", "all")]
+    levels = (
+        bucketed.join(F.broadcast(offsets.select("_bucket", *carried)), "_bucket")
+        .groupBy("_bucket", "value", *carried)
+        .agg(*[F.sum(w).alias(w) for w in weights])
+    )
     order = F.col("value").desc() if descending else F.col("value").asc()
     before = W.partitionBy("_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    out = bucketed.join(F.broadcast(offsets.drop(*[f"in_{w}" for w in weights])), "_bucket")
+    columns = {}
     for w in weights:
-        inner = F.coalesce(F.sum(w).over(before), F.lit(0).cast(bucketed.schema[w].dataType))
-        out = out.withColumn(f"before_{w}", F.col(f"off_{w}") + inner)
-    return out.drop("_bucket", *[f"off_{w}" for w in weights])
+        zero = F.lit(0).cast(levels.schema[w].dataType)
+        columns[f"before_{w}"] = F.col(f"off_{w}") + F.coalesce(F.sum(w).over(before), zero)
+    return levels.withColumns(columns).drop("_bucket", *[f"off_{w}" for w in weights])
 
 
-def running_totals(levels: DataFrame, weights: Sequence[str], descending: bool = False) -> DataFrame:
-    """``before_<w>`` and ``all_<w>`` on every row of ``levels`` (one row per distinct ``value``)."""
-    bucketed = levels.withColumn("_bucket", magnitude_bucket(F.col("value")))
-    offsets = bucket_offsets(bucketed, weights, descending)
-    return _inside_buckets(bucketed, offsets, weights, descending)
+def running_totals(rows: DataFrame, weights: Sequence[str], descending: bool = False) -> DataFrame:
+    """One row per distinct value: its weights, ``before_<w>`` and the grand total ``all_<w>``."""
+    bucketed = _bucketed(rows)
+    return _levels(bucketed, bucket_offsets(bucketed, weights, descending), weights, descending)
 
 
-def levels_at(levels: DataFrame, weights: Sequence[str], wanted: Column, hit, descending: bool = False) -> DataFrame:
-    """Levels on which a wanted position falls, with the matching positions in ``hits``.
+def levels_at(rows: DataFrame, weights: Sequence[str], wanted: Column, hit, descending: bool = False) -> DataFrame:
+    """Distinct values on which a wanted position falls, with the positions in ``hits``.
 
     ``wanted`` is an array column over the ``all_<w>`` totals; ``hit(position, before, own)`` tells
-    whether a position falls on a stretch, where ``before`` and ``own`` look up a weight. Buckets
-    without a wanted position are dropped before their levels are shuffled or sorted.
+    whether a position falls on a stretch, where ``before`` and ``own`` look up a weight.
     """
-    bucketed = levels.withColumn("_bucket", magnitude_bucket(F.col("value")))
-    offsets = bucket_offsets(bucketed, weights, descending).withColumn("wanted", wanted)
-    needed = offsets.filter(
-        F.exists("wanted", lambda p: hit(p, lambda w: F.col(f"off_{w}"), lambda w: F.col(f"in_{w}")))
+    bucketed = _bucketed(rows)
+    needed = bucket_offsets(bucketed, weights, descending).filter(
+        F.exists(wanted, lambda p: hit(p, lambda w: F.col(f"off_{w}"), lambda w: F.col(f"in_{w}")))
     )
-    inside = _inside_buckets(bucketed, needed, weights, descending)
-    hits = F.filter("wanted", lambda p: hit(p, lambda w: F.col(f"before_{w}"), lambda w: F.col(w)))
-    return inside.withColumn("hits", hits).filter(F.size("hits") > 0).drop("wanted")
+    inside = _levels(bucketed, needed, weights, descending)
+    hits = F.filter(wanted, lambda p: hit(p, lambda w: F.col(f"before_{w}"), lambda w: F.col(w)))
+    return inside.withColumn("hits", hits).filter(F.size("hits") > 0)
 
 
 def _position(n: Column, prob: float) -> Column:
@@ -100,18 +104,16 @@ def quantiles(df: DataFrame, value: Column, probs: Sequence[float], scale=dbl) -
     ``scale`` maps a value before interpolation (``dbl`` itself, or its logarithm); it must be
     increasing, so that order statistics of the value are those of the scaled value.
     """
-    levels = value_levels(df, value)
     wanted = F.array_distinct(
         F.array(
-            *[
-                edge(_position(F.col("all_n"), p)).cast("bigint")
-                for p in probs
-                for edge in (F.floor, F.ceil)
-            ]
+            *[edge(_position(F.col("all_n"), p)).cast("bigint") for p in probs for edge in (F.floor, F.ceil)]
         )
     )
     ranked = levels_at(
-        levels, ["n"], wanted, lambda p, before, own: (p >= before("n")) & (p < before("n") + own("n"))
+        value_rows(df, value),
+        ["n"],
+        wanted,
+        lambda p, before, own: (p >= before("n")) & (p < before("n") + own("n")),
     )
     picked = ranked.select(F.col("all_n").alias("n"), "value", F.explode("hits").alias("k"))
     at = []
@@ -165,8 +167,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50, below: float = 0.99) -
     """Equal-width bins over the values under a quantile: ``bin`` (1..bins), ``n``."""
     cap = quantiles(df, F.col(column), [below]).scalar()
     kept = df.select(dbl(column).alias("x")).filter(F.col("x") < cap)
-    span = kept.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
-    lo, hi = span.getField("lo"), span.getField("hi")
-    position = F.floor(F.try_divide((F.col("x") - lo) * F.lit(float(bins)), hi - lo)) + 1
-    number = F.least(F.coalesce(position, F.lit(1)), F.lit(bins)).cast("bigint")
-    return kept.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    ends = kept.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
+    placed = kept.withColumn("s", ends)
+    position = F.floor(F.try_divide((F.col("x") - F.col("s.lo")) * F.lit(float(bins)), F.col("s.hi") - F.col("s.lo")))
+    number = F.least(F.coalesce(position + 1, F.lit(1)), F.lit(bins)).cast("bigint")
+    return placed.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

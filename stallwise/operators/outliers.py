@@ -49,8 +49,8 @@ def outlier_limit(
     use_log = shape.select(F.col("method") == LOG_FENCE).scalar()
     positive = df.filter((F.col(column) > 0) & use_log)
     quartiles = quantiles(positive, F.col(column), [0.25, 0.75], scale=_ln)
-    q = quartiles.select(F.struct("q0", "q1")).scalar()
-    fence = F.exp(q.getField("q1") + F.lit(float(iqr_multiplier)) * (q.getField("q1") - q.getField("q0")))
+    shape = shape.withColumn("q", quartiles.select(F.struct("q0", "q1")).scalar())
+    fence = F.exp(F.col("q.q1") + F.lit(float(iqr_multiplier)) * (F.col("q.q1") - F.col("q.q0")))
     limit = F.when(F.col("method") == LOG_FENCE, fence).when(
         F.col("method") == Z_SCORE, F.col("mean") + F.lit(float(deviations)) * F.col("std")
     )
@@ -78,8 +78,11 @@ def compare_fences(df: DataFrame, column: str = "price", multiplier: float = 3.0
     log_fence = q.select(
         F.exp(F.col("q1") + F.lit(float(multiplier)) * (F.col("q1") - F.col("q0"))).alias("upper_limit")
     )
-    limits = {"linear": linear_fence(df, column, multiplier).scalar(), "log": log_fence.scalar()}
+    limits = {"linear": F.col("_linear"), "log": F.col("_log")}
     amount = F.col(column)
+    df = df.select(amount).withColumns(
+        {"_linear": linear_fence(df, column, multiplier).scalar(), "_log": log_fence.scalar()}
+    )
     parts = [F.sum(amount).alias("all_amount")]
     for name, limit in limits.items():
         parts.append(F.max(limit).alias(f"limit_{name}"))

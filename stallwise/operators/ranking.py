@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from stallwise.functions.numeric import big, dbl, percent, round_half_up
-from stallwise.operators.distribution import levels_at, running_totals, value_levels
+from stallwise.operators.distribution import levels_at, running_totals, value_rows
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -33,18 +33,13 @@ def share_of_total(df: DataFrame, amount: str, name: str, digits: int) -> DataFr
     return df.withColumn(name, round_half_up(percent(amount, whole), digits))
 
 
-def _revenue_levels(owners: DataFrame, revenue: str) -> DataFrame:
-    """Distinct revenues with the number of owners and their joint amount."""
-    amount = (F.col("value") * F.col("n")).cast("decimal(38,2)")
-    return value_levels(owners, F.col(revenue)).withColumn("amount", amount)
-
-
 def concentration_curve(owners: DataFrame, revenue: str) -> DataFrame:
     """Points of the concentration curve, one per distinct revenue, from the largest down.
 
     Owners with equal revenue lie on a straight stretch between two points.
     """
-    totals = running_totals(_revenue_levels(owners, revenue), ["n", "amount"], descending=True)
+    rows = value_rows(owners, F.col(revenue), with_amount=True)
+    totals = running_totals(rows, ["n", "amount"], descending=True)
     cum_n = F.col("before_n") + F.col("n")
     cum_amount = F.col("before_amount") + F.col("amount")
     return totals.select(
@@ -63,7 +58,7 @@ def concentration_thresholds(owners: DataFrame, revenue: str, thresholds: Sequen
     Exact: comparisons are in whole cents, and the position inside a group of equal revenues is
     the ceiling of what is missing over the revenue of one owner.
     """
-    levels = _revenue_levels(owners, revenue)
+    rows = value_rows(owners, F.col(revenue), with_amount=True)
     wanted = F.array(*[F.lit(int(t)) for t in thresholds])
     whole = "all_amount"
 
@@ -71,8 +66,8 @@ def concentration_thresholds(owners: DataFrame, revenue: str, thresholds: Sequen
         goal = t * F.col(whole)
         return (before("amount") * 100 < goal) & ((before("amount") + own("amount")) * 100 >= goal)
 
-    hits = levels_at(levels, ["n", "amount"], wanted, crosses, descending=True)
-    rows = hits.select("*", F.explode("hits").alias("t")).select(
+    hits = levels_at(rows, ["n", "amount"], wanted, crosses, descending=True)
+    crossings = hits.select("*", F.explode("hits").alias("t")).select(
         big("t").alias("pct_revenue"),
         "before_n",
         "all_n",
@@ -80,7 +75,7 @@ def concentration_thresholds(owners: DataFrame, revenue: str, thresholds: Sequen
         (F.col("value") * 10000).cast("decimal(38,0)").alias("each"),
     )
     owners_needed = F.col("before_n") + F.expr("(missing + each - 1) div each")
-    return rows.select("pct_revenue", "all_n", big(owners_needed).alias("sellers")).select(
+    return crossings.select("pct_revenue", "all_n", big(owners_needed).alias("sellers")).select(
         "pct_revenue",
         "sellers",
         round_half_up(percent("sellers", "all_n"), 2).alias("pct_sellers"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +26,8 @@ def item_totals(star: Star, *extra_keys: str) -> DataFrame:
 
 def kept(per_order: DataFrame, star: Star) -> DataFrame:
     """Rows of orders in the model; for rows already reduced per order."""
+    if star.saved:
+        return per_order
     return per_order.join(star.fact_orders.select("order_id"), "order_id", "left_semi")
 
 
@@ -46,8 +46,3 @@ def half_of(ts: str) -> Column:
 def one_value(df: DataFrame, column: str) -> Column:
     """Single value of a one-row frame as a scalar subquery."""
     return df.select(column).scalar()
-
-
-def rows_of(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:
-    """Turn a one-row frame into one row per struct."""
-    return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")

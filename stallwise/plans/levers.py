@@ -23,7 +23,7 @@ from stallwise.functions.constants import (
 from stallwise.functions.dates import in_window
 from stallwise.functions.numeric import big, count_when, dbl, mean, percent, round_half_up
 from stallwise.operators.ranking import top_rows
-from stallwise.plans.common import delivered, half_of, item_totals, one_value, punctuality
+from stallwise.plans.common import delivered, half_of, item_totals, kept, one_value, punctuality
 from stallwise.plans.enrichment import eligible, valid_rows
 from stallwise.plans.retention import late_repurchase
 from stallwise.plans.sellers import ITEM_BANDS, activation_rate, local_seller_gmv
@@ -101,9 +101,7 @@ def _paid_orders(star: Star, condition: Column, *keys: str) -> DataFrame:
 def value_by_installments(star: Star, a: Assumptions = DEFAULTS) -> DataFrame:
     """Orders and mean payment by number of card installments, 1 to 12."""
     card = (F.col("payment_type") == a.card) & F.col("payment_installments").between(1, 12)
-    per_order = _paid_orders(star, card, "payment_installments").join(
-        star.fact_orders.select("order_id"), "order_id", "left_semi"
-    )
+    per_order = kept(_paid_orders(star, card, "payment_installments"), star)
     return per_order.groupBy(big("payment_installments").alias("installments")).agg(
         F.count(F.lit(1)).alias("orders"), mean(F.sum("value"), F.sum("n"), 2).alias("mean_value")
     )
@@ -124,7 +122,7 @@ def installment_multiple(star: Star, many: int = 10, a: Assumptions = DEFAULTS)
 
 def high_ticket_categories(star: Star, min_orders: int = 500, k: int = 6) -> DataFrame:
     """Categories above a number of orders, highest mean price first."""
-    lines = item_totals(star, "product_id").join(star.fact_orders.select("order_id"), "order_id", "left_semi")
+    lines = kept(item_totals(star, "product_id"), star)
     products = star.dim_product.select("product_id", F.col("category_name").alias("category"))
     per_category = (
         lines.join(products, "product_id")

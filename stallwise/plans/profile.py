@@ -109,9 +109,14 @@ def state_share(star: Star, state: str, kind: str = "seller") -> DataFrame:
 
 
 def payment_mix(star: Star) -> DataFrame:
-    per_type = star.fact_payments.groupBy("payment_type").agg(
+    per_order = star.order_payments.groupBy("order_id", "payment_type").agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("payment_value").alias("value")
     )
+    per_type = (
+        kept(per_order, star)
+        .groupBy("payment_type")
+        .agg(big(F.sum("transactions")).alias("transactions"), F.sum("value").alias("value"))
+    )
     return share_of_total(per_type, "value", "pct_value", 4).select(
         "payment_type", "transactions", round_half_up("value", 2).alias("value"), "pct_value"
     )

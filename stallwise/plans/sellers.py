@@ -17,16 +17,16 @@ from stallwise.operators.ranking import (
     default_labels,
     share_of_total,
 )
-from stallwise.plans.common import delivered, item_totals
+from stallwise.plans.common import delivered, item_totals, kept
 from stallwise.plans.star import Star
 
 ITEM_BANDS = (10, 50, 200)
 
 
 def seller_revenue(star: Star) -> DataFrame:
-    return star.fact_items.groupBy("seller_id").agg(
-        F.count(F.lit(1)).alias("items"), F.sum("price").alias("gmv")
-    )
+    """Items and revenue per seller; summed per order and seller before orders are checked."""
+    per_seller = kept(item_totals(star, "seller_id"), star).groupBy("seller_id")
+    return per_seller.agg(big(F.sum("items")).alias("items"), F.sum("gmv").alias("gmv"))
 
 
 def pareto_thresholds(star: Star, thresholds: Sequence[int] = (50, 70, 80)) -> DataFrame:

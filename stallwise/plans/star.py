@@ -6,8 +6,8 @@ describe the same orders.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,27 +18,37 @@ from stallwise.operators.outliers import IS_OUTLIER
 from stallwise.sources.layers import read_table, write_table
 
 
-@dataclass(frozen=True)
+TABLES = [
+    "dim_customer",
+    "dim_seller",
+    "dim_product",
+    "dim_date",
+    "fact_orders",
+    "fact_items",
+    "fact_payments",
+]
+
+
 class Star:
-    """Model tables.
+    """Model tables, each built when first asked for.
 
     ``order_items`` and ``order_payments`` hold at least the rows of the facts. Plans that inner
     join them to ``fact_orders`` read these, because that join already does what the semi join of
-    the facts does, and they can pre-aggregate before it. In a saved star they are the facts.
+    the facts does, and they can pre-aggregate before it. In a saved star they are the facts, and
+    ``saved`` tells that no rows of dropped orders are left to remove.
     """
 
-    dim_customer: DataFrame
-    dim_seller: DataFrame
-    dim_product: DataFrame
-    dim_date: DataFrame
-    fact_orders: DataFrame
-    fact_items: DataFrame
-    fact_payments: DataFrame
-    order_items: DataFrame
-    order_payments: DataFrame
-
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]], saved: bool = False):
+        self.saved = saved
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
 
-TABLES = [f.name for f in fields(Star) if not f.name.startswith("order_")]
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
 
 
 def build_dim_customer(customers: DataFrame) -> DataFrame:
@@ -158,9 +168,7 @@ def kept_rows(child: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def _item_columns(items: DataFrame) -> DataFrame:
-    return items.select(
-        "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", IS_OUTLIER
-    )
+    return items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", IS_OUTLIER)
 
 
 def _payment_columns(payments: DataFrame) -> DataFrame:
@@ -177,21 +185,27 @@ def build_fact_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     return kept_rows(_payment_columns(payments), orders)
 
 
-def build_star(frames: dict[str, DataFrame], dim_date: DataFrame | None = None) -> Star:
-    """All model tables, lazily; ``order_items`` must already carry the outlier flag."""
-    orders = frames["orders"]
-    if dim_date is None:
-        dim_date = build_dim_date(orders.sparkSession)
+def build_star(
+    frames: Mapping[str, DataFrame],
+    dim_date: Callable[[], DataFrame] | None = None,
+    order_items: Callable[[], DataFrame] | None = None,
+) -> Star:
+    """All model tables, lazily; the items must already carry the outlier flag.
+
+    ``order_items`` may give the same items without the flag, which only the fact needs.
+    """
     return Star(
-        dim_customer=build_dim_customer(frames["customers"]),
-        dim_seller=build_dim_seller(frames["sellers"]),
-        dim_product=build_dim_product(frames["products"], frames.get("category_translation")),
-        dim_date=dim_date,
-        fact_orders=build_fact_orders(orders, frames["reviews"]),
-        fact_items=build_fact_items(frames["order_items"], orders),
-        fact_payments=build_fact_payments(frames["payments"], orders),
-        order_items=_item_columns(frames["order_items"]),
-        order_payments=_payment_columns(frames["payments"]),
+        {
+            "dim_customer": lambda: build_dim_customer(frames["customers"]),
+            "dim_seller": lambda: build_dim_seller(frames["sellers"]),
+            "dim_product": lambda: build_dim_product(frames["products"], frames.get("category_translation")),
+            "dim_date": dim_date or (lambda: build_dim_date(frames["orders"].sparkSession)),
+            "fact_orders": lambda: build_fact_orders(frames["orders"], frames["reviews"]),
+            "fact_items": lambda: build_fact_items(frames["order_items"], frames["orders"]),
+            "fact_payments": lambda: build_fact_payments(frames["payments"], frames["orders"]),
+            "order_items": order_items or (lambda: frames["order_items"]),
+            "order_payments": lambda: _payment_columns(frames["payments"]),
+        }
     )
 
 
@@ -201,6 +215,39 @@ def save_star(star: Star, base: str) -> None:
         write_table(getattr(star, name), base, name)
 
 
-def load_star(spark: SparkSession, base: str, read: Callable[..., DataFrame] = read_table) -> Star:
-    tables = {name: read(spark, base, name) for name in TABLES}
-    return Star(**tables, order_items=tables["fact_items"], order_payments=tables["fact_payments"])
+def _saved(read: Callable[[str], DataFrame]) -> Star:
+    names = {name: name for name in TABLES} | {"order_items": "fact_items", "order_payments": "fact_payments"}
+    return Star({name: partial(read, table) for name, table in names.items()}, saved=True)
+
+
+def load_star(spark: SparkSession, base: str) -> Star:
+    return _saved(lambda table: read_table(spark, base, table))
+
+
+# Key that each table is joined on.
+BUCKET_KEYS = {
+    "dim_customer": "customer_id",
+    "dim_seller": "seller_id",
+    "dim_product": "product_id",
+    "fact_orders": "order_id",
+    "fact_items": "order_id",
+    "fact_payments": "order_id",
+}
+
+
+def save_star_bucketed(star: Star, database: str, buckets: int) -> None:
+    """Create or replace the tables in a catalog database, bucketed and sorted by their join key.
+
+    Joins of the facts on order_id, and sums per order, then need no shuffle.
+    """
+    spark = star.fact_orders.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in TABLES:
+        writer = getattr(star, name).write.mode("overwrite").format("parquet")
+        if name in BUCKET_KEYS:
+            writer = writer.bucketBy(buckets, BUCKET_KEYS[name]).sortBy(BUCKET_KEYS[name])
+        writer.saveAsTable(f"{database}.{name}")
+
+
+def load_star_bucketed(spark: SparkSession, database: str) -> Star:
+    return _saved(lambda table: spark.table(f"{database}.{table}"))

@@ -18,6 +18,9 @@ def build_session(app_name: str = "stallwise", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Review texts may be long: keep the batches that reach Python workers small.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     )
     if master:
         builder = builder.master(master)

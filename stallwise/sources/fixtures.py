@@ -6,8 +6,11 @@ expressions stand in the comparison SQL.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stallwise.functions.constants import CANCELED, DELIVERED
 from stallwise.functions.numeric import money
@@ -22,8 +25,15 @@ CARD = "A"
 FOCUS_REGION = "ASIA"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Test table; its schema is inferred once, later reads need no job to look at the footers."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,21 +162,45 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.unionByName(talks)
 
 
-def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw entities, before any quality step."""
-    return {
-        "customers": customers(spark, sf_dir),
-        "sellers": sellers(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "category_translation": translation(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "order_items": items(spark, sf_dir),
-        "payments": payments(spark, sf_dir),
-        "reviews": reviews(spark, sf_dir),
-    }
+_ENTITIES = {
+    "customers": customers,
+    "sellers": sellers,
+    "products": products,
+    "category_translation": translation,
+    "orders": orders,
+    "order_items": items,
+    "payments": payments,
+    "reviews": reviews,
+}
+
+
+class Entities(Mapping):
+    """Raw entities before any quality step, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, **overrides):
+        self._spark, self._dir = spark, sf_dir
+        self._makers = _ENTITIES | overrides
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, entity: str) -> DataFrame:
+        if entity not in self._built:
+            self._built[entity] = self._makers[entity](self._spark, self._dir)
+        return self._built[entity]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self):
+        return len(self._makers)
+
+
+def flagged_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flag_outliers(items(spark, sf_dir), "price", deviations=PRICE_DEVIATIONS)
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    frames = entities(spark, sf_dir)
-    frames["order_items"] = flag_outliers(frames["order_items"], "price", deviations=PRICE_DEVIATIONS)
-    return build_star(frames, dim_date_over(table(spark, sf_dir, "orders"), "o_orderdate"))
+    return build_star(
+        Entities(spark, sf_dir, order_items=flagged_items),
+        lambda: dim_date_over(table(spark, sf_dir, "orders"), "o_orderdate"),
+        lambda: items(spark, sf_dir),
+    )
