@@ -22,6 +22,7 @@ from stallwise.operators.references import (
 from stallwise.operators.report import verdicts
 from stallwise.operators.uniqueness import IS_REPEAT, mark_repeats
 from stallwise.plans.star import Star, build_star, load_star, save_star
+from stallwise.session import shared_dir
 from stallwise.sources.layers import read_table, stage, write_quarantine, write_table
 from stallwise.sources.raw import BAD_VALUES, POSITION, load_raw
 
@@ -220,6 +221,7 @@ class Layers:
 
     @classmethod
     def under(cls, base: str) -> Layers:
+        """All layers below one folder; ``shared_dir`` names the one of the session."""
         base = base.rstrip("/")
         return cls(f"{base}/staging", f"{base}/quarantine", f"{base}/model", f"{base}/work")
 
@@ -227,14 +229,16 @@ class Layers:
 def run_files(
     spark: SparkSession,
     raw_dir: str,
-    layers: Layers,
+    layers: Layers | None = None,
     files: Mapping[str, str] | None = None,
     sets: Mapping[str, RuleSet] | None = None,
 ) -> tuple[QualityResult, Star]:
     """Raw files to staging, quarantine, report and model tables.
 
     Every step starts from a written table, so a lost executor repeats one step, not the run.
+    Without ``layers`` they lie in the shared folder of the session.
     """
+    layers = layers or Layers.under(f"{shared_dir(spark)}/stallwise")
     frames = load_raw(spark, raw_dir, dict(files or {}))
     result = run_quality(frames, sets, keep=lambda df, name: stage(df, layers.work, name))
     staged = {}

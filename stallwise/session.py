@@ -39,6 +39,4 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    fresh = tempfile.mkdtemp(prefix="stallwise-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    return tempfile.mkdtemp(prefix="stallwise-")

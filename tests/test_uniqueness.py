@@ -37,11 +37,9 @@ def test_hot_key_of_exact_copies_keeps_exactly_one(spark):
     df = spark.range(20_000).select(
         F.when(F.col("id") < 15_000, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit("same").alias("v")
     )
-    counts = {(r.k == -1, r[IS_REPEAT]): r["count"] for r in
-              mark_repeats(df, ["k"], []).groupBy("k", IS_REPEAT).count()
-              .groupBy((F.col("k")).alias("k"), IS_REPEAT).agg(F.sum("count").alias("count"))
-              .groupBy(F.when(F.col("k") == -1, -1).otherwise(0).alias("k"), IS_REPEAT)
-              .agg(F.sum("count").alias("count")).collect()}
+    hot = F.col("k") == -1
+    marks = mark_repeats(df, ["k"], []).groupBy(hot.alias("hot"), IS_REPEAT).count()
+    counts = {(r.hot, r[IS_REPEAT]): r["count"] for r in marks.collect()}
     assert counts == {(True, False): 1, (True, True): 14_999, (False, False): 5_000}
 
 
