@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallwise.plans.enrichment import TEXT
+from stallwise.session import checkpointed
 from stallwise.sources.schemas import TAXONOMY
 
 MIN_TOPICS, MAX_TOPICS = 4, 6
@@ -63,10 +64,14 @@ def discover_topics(
     languages: tuple[str, ...] = ("portuguese",),
     max_iterations: int = 10,
 ) -> TopicModel:
-    """Fit ``k`` topics on all given texts; the online optimiser reads them in mini-batches."""
+    """Fit ``k`` topics on all given texts; the online optimiser reads them in mini-batches.
+
+    Every pass of the fit reads the texts or their term counts again, so both are checkpointed.
+    """
     if not MIN_TOPICS <= k <= MAX_TOPICS:
         raise ValueError(f"k must be {MIN_TOPICS}..{MAX_TOPICS}")
     stop_words = [w for language in languages for w in StopWordsRemover.loadDefaultStopWords(language)]
+    reviews = checkpointed(reviews.select("order_id", TEXT))
     prepare = Pipeline(
         stages=[
             RegexTokenizer(inputCol=TEXT, outputCol="_tokens", pattern=r"\P{L}+", minTokenLength=3),
@@ -75,4 +80,5 @@ def discover_topics(
         ]
     ).fit(reviews)
     lda = LDA(k=k, seed=seed, maxIter=max_iterations, optimizer="online", featuresCol="features")
-    return TopicModel(prepare, lda.fit(prepare.transform(reviews)), terms)
+    counts = checkpointed(prepare.transform(reviews).select("features"))
+    return TopicModel(prepare, lda.fit(counts), terms)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "stallwise", master: str | None = None, **conf) -> SparkSession:
@@ -18,6 +18,8 @@ def build_session(app_name: str = "stallwise", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split skewed joins even where the next step then needs one more shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Review texts may be long: keep the batches that reach Python workers small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
@@ -40,3 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return tempfile.mkdtemp(prefix="stallwise-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: computed once, and it outlives lost executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
