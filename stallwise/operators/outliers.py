@@ -57,12 +57,15 @@ def outlier_limit(
     return shape.select("n", "skewness", "method", limit.alias("upper_limit"))
 
 
-def flag_outliers(df: DataFrame, column: str = "price", flag: str = IS_OUTLIER, **options) -> DataFrame:
+def flag_outliers(
+    df: DataFrame, column: str = "price", flag: str = IS_OUTLIER, basis: DataFrame | None = None, **options
+) -> DataFrame:
     """Add ``flag``; rows without a value, or without a limit, are not outliers.
 
+    The limit is that of the rows of ``basis``, by default of all rows.
     The limit is a scalar subquery: a query that does not read the flag does not compute it.
     """
-    limit = outlier_limit(df, column, **options).select("upper_limit").scalar()
+    limit = outlier_limit(df if basis is None else basis, column, **options).select("upper_limit").scalar()
     return df.withColumn(flag, F.coalesce(dbl(column) > limit, F.lit(False)))
 
 

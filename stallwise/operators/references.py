@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallwise.operators.rules import REASON, reliability
+from stallwise.operators.rules import REASON, ordered_counts, reliability
 
 FAILED_REFERENCE = "failed_reference"
 
@@ -76,26 +76,10 @@ def tag_first_failure(child: DataFrame, refs: Sequence[Reference]) -> DataFrame:
         out = out.join(orphans, out[ref.child_col].eqNullSafe(orphans[f"_key{i}"]), "left")
     failures = [F.when(F.col(f"_lost{i}"), F.lit(ref.name)) for i, ref in enumerate(refs)]
     helpers = [name for i in range(len(refs)) for name in (f"_key{i}", f"_lost{i}")]
-    return out.withColumn(FAILED_REFERENCE, F.coalesce(*failures)).drop(*helpers)
+    first = F.coalesce(*failures) if failures else F.lit(None).cast("string")
+    return out.withColumn(FAILED_REFERENCE, first).drop(*helpers)
 
 
 def cascade_counts(tagged: DataFrame, names: Sequence[str]) -> DataFrame:
     """Counts per reference in order; the total of each is what the earlier ones left."""
-    counts = tagged.agg(
-        F.count(F.lit(1)).alias("_all"),
-        *[F.count(F.when(F.col(FAILED_REFERENCE) == n, 1)).alias(f"_f{i}") for i, n in enumerate(names)],
-    )
-    rows = []
-    left = F.col("_all")
-    for i, name in enumerate(names):
-        rows.append(
-            F.struct(
-                F.lit(name).alias("check_name"), left.alias("total"), F.col(f"_f{i}").alias("failed")
-            )
-        )
-        left = left - F.col(f"_f{i}")
-    return (
-        counts.select(F.explode(F.array(*rows)).alias("r"))
-        .select("r.*")
-        .withColumn("reliability_pct", reliability("total", "failed"))
-    )
+    return ordered_counts(tagged, [(name, F.col(FAILED_REFERENCE) == name) for name in names])

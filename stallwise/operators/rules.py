@@ -94,12 +94,25 @@ def reliability(total, failed) -> Column:
 
 def check_counts(tagged: DataFrame, check_name: str) -> DataFrame:
     """One row: check_name, total, failed, reliability_pct."""
+    return ordered_counts(tagged, [(check_name, F.size(VIOLATIONS) > 0)])
+
+
+def ordered_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Counts of successive checks from one aggregate; the total of each is what the earlier left.
+
+    The conditions of the steps must exclude each other.
+    """
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_all"),
+        *[F.count(F.when(failed, 1)).alias(f"_f{i}") for i, (_, failed) in enumerate(steps)],
+    )
+    rows, left = [], F.col("_all")
+    for i, (name, _) in enumerate(steps):
+        rows.append(F.struct(F.lit(name).alias("check_name"), left.alias("total"), F.col(f"_f{i}").alias("failed")))
+        left = left - F.col(f"_f{i}")
     return (
-        tagged.agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count(F.when(F.size(VIOLATIONS) > 0, 1)).alias("failed"),
-        )
-        .select(F.lit(check_name).alias("check_name"), "total", "failed")
+        counts.select(F.explode(F.array(*rows)).alias("r"))
+        .select("r.*")
         .withColumn("reliability_pct", reliability("total", "failed"))
     )
 

@@ -16,7 +16,6 @@ from stallwise.operators.outliers import flag_outliers
 from stallwise.operators.references import (
     FAILED_REFERENCE,
     Reference,
-    cascade_counts,
     tag_first_failure,
 )
 from stallwise.operators.report import verdicts
@@ -164,44 +163,39 @@ def run_quality(
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
     outliers: Mapping[str, object] | None = None,
 ) -> QualityResult:
-    """All checks in order; every step works on the rows the earlier ones left.
+    """All checks, one tagged pass per entity, parents before children.
 
-    ``keep`` may materialise a step: the file run hands in a table writer, so that the tagged
-    rows of an entity are computed once and then read for the clean part, the bad part and the
-    counts. Without it everything stays one lazy plan.
+    A row fails its entity's rules first and then the references in order, so each check counts
+    and quarantines what the earlier ones left. ``keep`` may materialise a tagged entity: the file
+    run hands in a table writer, so that it is computed once and then read for the clean part, the
+    bad part, the counts and the children. Without it everything stays one lazy plan.
     """
-    sets = sets or rule_sets()
     result = QualityResult()
-    schema_clean, schema_checks = {}, {}
-    for entity, rule_set in sets.items():
-        tagged = keep(tag_entity(frames[entity], rule_set), f"tagged_{entity}")
-        schema_clean[entity] = r.clean_rows(tagged)
-        result.quarantine[entity] = r.quarantined_rows(tagged).withColumn("check_name", F.lit(rule_set.check_name))
-        schema_checks[entity] = r.check_counts(tagged, rule_set.check_name)
-    result.checks = [schema_checks[e] for e in sets]
-
-    schema_clean["order_items"] = flag_outliers(schema_clean["order_items"], "price", **(outliers or {}))
-    result.clean = {e: df for e, df in schema_clean.items()}
-
-    for child in dict.fromkeys(ref[0] for ref in REFERENCES):
+    broken = F.size(r.VIOLATIONS) > 0
+    for entity, rule_set in (sets or rule_sets()).items():
+        tagged = tag_entity(frames[entity], rule_set)
+        if entity == "order_items":
+            tagged = flag_outliers(tagged, "price", basis=tagged.filter(~broken), **(outliers or {}))
         refs = [
             Reference(name, column, result.clean[parent], parent_column)
-            for c, name, column, parent, parent_column in REFERENCES
-            if c == child
+            for child, name, column, parent, parent_column in REFERENCES
+            if child == entity
         ]
-        tagged = keep(tag_first_failure(schema_clean[child], refs), f"referenced_{child}")
-        result.checks.append(cascade_counts(tagged, [ref.name for ref in refs]))
-        reason = reduce(
-            lambda out, ref: out.when(F.col(FAILED_REFERENCE) == ref.name, F.lit(ref.reason)), refs, F
+        tagged = keep(tag_first_failure(tagged, refs), f"tagged_{entity}")
+        orphan = F.col(FAILED_REFERENCE)
+        result.checks.append(
+            r.ordered_counts(
+                tagged, [(rule_set.check_name, broken)] + [(f.name, ~broken & (orphan == f.name)) for f in refs]
+            )
         )
-        orphans = (
-            tagged.filter(F.col(FAILED_REFERENCE).isNotNull())
-            .withColumn(r.REASON, reason)
-            .withColumnRenamed(FAILED_REFERENCE, "check_name")
+        lost = F.coalesce(*[F.when(orphan == f.name, F.lit(f.reason)) for f in refs], F.lit(None).cast("string"))
+        result.clean[entity] = tagged.filter(~broken & orphan.isNull()).drop(r.VIOLATIONS, FAILED_REFERENCE)
+        result.quarantine[entity] = (
+            r.with_reason(tagged.filter(broken | orphan.isNotNull()))
+            .withColumn(r.REASON, F.when(broken, F.col(r.REASON)).otherwise(lost))
+            .withColumn("check_name", F.when(broken, F.lit(rule_set.check_name)).otherwise(orphan))
+            .drop(r.VIOLATIONS, FAILED_REFERENCE)
         )
-        result.quarantine[child] = result.quarantine[child].unionByName(orphans, allowMissingColumns=True)
-        result.clean[child] = tagged.filter(F.col(FAILED_REFERENCE).isNull()).drop(FAILED_REFERENCE)
-
     result.audit = audits.audit(
         result.clean["orders"], result.clean["products"], result.clean["reviews"], result.clean["order_items"]
     )
