@@ -47,11 +47,11 @@ raw_payments AS (
          1 + l_quantity::INT % 12 AS payment_installments, l_extendedprice::DECIMAL(18,2) AS payment_value
   FROM lineitem),
 raw_reviews AS (
-  SELECT 'd-' || doc_id AS review_id, doc_id AS order_id, 1 + length(text) % 5 AS review_score, text AS comment,
+  SELECT 'd-' || doc_id AS review_id, doc_id AS order_id, (1 + length(text) % 5)::INT AS review_score, text AS comment,
          TIMESTAMP '2000-01-01' AS created
   FROM documents
   UNION ALL
-  SELECT 'c-' || conv_id || '-' || turn, conv_id, 1 + length(text) % 5, text,
+  SELECT 'c-' || conv_id || '-' || turn, conv_id, (1 + length(text) % 5)::INT, text,
          TIMESTAMP '2000-01-01' + to_days((turn + 1)::INT)
   FROM conversations WHERE role = 'user')
 """

@@ -1,18 +1,9 @@
 """Review texts, classification and root causes."""
 
 from oracle.base import pct, rnd, with_model
+from stallwise.catalogue import DEADLINE_WORDS, PRODUCT_WORDS, TAXONOMY
 from stallwise.functions.constants import FALLBACK_REASON
 
-# The taxonomy the fixture queries classify with.
-TAXONOMY = {
-    "atraso_entrega": ["pour", "nicht", "thing"],
-    "produto_divergente_incompleto": ["with", "avec", "mente"],
-    "defeito_qualidade": ["from", "dans", "heit"],
-    "falha_atendimento_sac": ["this", "sich", "para"],
-}
-DEADLINE_WORDS = ["pour", "thing"]
-PRODUCT_WORDS = ["with", "from"]
-
 
 def _has(word: str) -> str:
     return f"contains(lower(review_comment_message), '{word}')"

@@ -48,14 +48,6 @@ def test_queries_without_sql(spark, sf):
     assert abs(sum(r.pct for r in shares) - 100) < 1
 
 
-def test_taxonomies_of_query_and_sql_are_the_same():
-    from oracle import text
-    from stallwise import catalogue
-
-    assert text.TAXONOMY == catalogue.TAXONOMY
-    assert (text.DEADLINE_WORDS, text.PRODUCT_WORDS) == (catalogue.DEADLINE_WORDS, catalogue.PRODUCT_WORDS)
-
-
 def test_focus_states_are_those_of_the_region(spark, sf):
     from stallwise import catalogue
     from stallwise.sources import fixtures
