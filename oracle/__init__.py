@@ -1,3 +1 @@
 """Comparison SQL: the same results as the Spark plans, in plain SQL over the provided tables."""
-
-from oracle.base import BASE, pct, rnd, with_model  # noqa: F401
