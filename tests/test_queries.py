@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 import compare
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.LLM_QUERIES}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k not in entry.LLM_SQL}
 
 # Fits of a topic model run Spark jobs while the plan is built.
 FITTED = {"text_topics", "text_topic_shares"}
