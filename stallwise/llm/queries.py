@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from stallwise.llm import simhash_near, url_filter
+from stallwise.llm import simhash_near, source_mix, token_blocks, url_filter
 
 QUERIES = {
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_token_output": token_blocks.op3_token_output,
     "op9_simhash_near_dedup": simhash_near.op9_simhash_near_dedup,
+    "op10_source_mix": source_mix.op10_source_mix,
 }
 
 ORACLE_SQL = {
     "op2_url_filter": url_filter.OP2_SQL,
+    "op10_source_mix": source_mix.OP10_SQL,
 }
