@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from stallwise.llm import language_id, secret_scan, simhash_near, source_mix, token_blocks, url_filter
+from stallwise.llm import (
+    decontamination,
+    language_id,
+    secret_scan,
+    simhash_near,
+    simhash_tables,
+    source_mix,
+    token_blocks,
+    url_filter,
+)
 
 QUERIES = {
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_token_output": token_blocks.op3_token_output,
+    "op4_fingerprints": simhash_tables.op4_fingerprints,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op6_language_id": language_id.op6_language_id,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_simhash_near_dedup": simhash_near.op9_simhash_near_dedup,
