@@ -30,14 +30,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, n at least."""
+    size = 1 << max(12, int(n).bit_length())
+    return _powers(_BASE, size), _powers(_INVERSE, size)
+
+
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     white = _WHITE[data]
     edges = np.diff(np.concatenate([[True], white, [True]]).view(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    size = 1 << max(12, int(len(data)).bit_length())
+    forward, back = powers(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[data] + np.uint64(1)) * _powers(_BASE, size)[: len(data)], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _powers(_INVERSE, size)[starts]
+    np.cumsum((_LOWER[data] + np.uint64(1)) * forward[: len(data)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * back[starts]
     return starts, ends, mixed(hashes + (ends - starts).astype(np.uint64))
 
 

@@ -5,20 +5,24 @@ from __future__ import annotations
 from stallwise.llm import (
     decontamination,
     language_id,
+    line_dedup,
     secret_scan,
     simhash_near,
     simhash_tables,
     source_mix,
+    substring_dedup,
     token_blocks,
     url_filter,
 )
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_token_output": token_blocks.op3_token_output,
     "op4_fingerprints": simhash_tables.op4_fingerprints,
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_language_id": language_id.op6_language_id,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_simhash_near_dedup": simhash_near.op9_simhash_near_dedup,
     "op10_source_mix": source_mix.op10_source_mix,
