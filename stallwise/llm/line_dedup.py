@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm.common import components, saved, table
+from stallwise.llm.common import components, parts_of, saved, table
 from stallwise.llm.hashing import mixed, word_hashes
 
 RADIUS = 3
@@ -78,7 +78,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             row, number, total, forms = [], [], [], []
             bare, bare_total = [], []
             for i, text in enumerate(batch.column(2)):
