@@ -124,9 +124,11 @@ def latest_review(reviews: DataFrame) -> DataFrame:
     column has its own aggregate, so that a query for scores does not shuffle texts; the longer
     order of the text starts with that of the score, which keeps both on one row.
     """
-    newest_first = F.coalesce(
-        -F.unix_micros(F.col("review_creation_date").cast("timestamp")), F.lit((1 << 63) - 1)
-    )
+    # Counted from the parts of the zone-less time: a cast to an instant would depend on the session's zone.
+    created = F.col("review_creation_date").cast("timestamp_ntz")
+    seconds = F.datediff(created, F.lit("1970-01-01")).cast("long") * 86400 + F.hour(created) * 3600 + F.minute(created) * 60
+    micros = seconds * 1_000_000 + (F.extract(F.lit("SECOND"), created) * 1_000_000).cast("long")
+    newest_first = F.coalesce(-micros, F.lit((1 << 63) - 1))
     place = [newest_first, F.col("review_id"), F.col("review_score")]
     text = F.col("review_comment_message")
     return reviews.groupBy("order_id").agg(

@@ -4,29 +4,42 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwise.plans.enrichment import TEXT
-from stallwise.session import checkpointed
+from stallwise.session import written
 from stallwise.sources.schemas import TAXONOMY
 
 MIN_TOPICS, MAX_TOPICS = 4, 6
 
 
+MIN_LETTERS = 3
+
+
+def tokens(text: Column) -> Column:
+    """Runs of at least three letters, lower case, with repeats."""
+    return F.filter(F.split(F.lower(text), r"\P{L}+"), lambda w: F.length(w) >= MIN_LETTERS)
+
+
+def term_documents(reviews: DataFrame) -> DataFrame:
+    """Texts per term, over all texts: what the vocabulary is made from."""
+    words = reviews.select(F.explode(F.array_distinct(tokens(F.col(TEXT)))).alias("term"))
+    return words.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+
+
 @dataclass(frozen=True)
 class TopicModel:
-    prepare: PipelineModel
+    counter: CountVectorizerModel
     topics: object
     terms: int
 
     def categories(self) -> list[dict]:
         """Topics as categories: at most six rows of ``terms`` keywords leave the cluster."""
-        vocabulary = self.prepare.stages[-1].vocabulary
+        vocabulary = self.counter.vocabulary
         rows = self.topics.describeTopics(self.terms).orderBy("topic").collect()
         out = []
         for row in rows:
@@ -50,35 +63,37 @@ class TopicModel:
     def assign(self, reviews: DataFrame) -> DataFrame:
         """Topic with the largest weight in each text."""
         weights = vector_to_array("topicDistribution")
-        ready = self.topics.transform(self.prepare.transform(reviews.select("order_id", TEXT)))
+        ready = self.topics.transform(self.counter.transform(_words(reviews)))
         place = F.array_position(weights, F.array_max(weights)) - 1
         return ready.select("order_id", F.concat(F.lit("topic_"), place.cast("string")).alias("category"))
 
 
+def _words(reviews: DataFrame) -> DataFrame:
+    return reviews.select("order_id", tokens(F.col(TEXT)).alias("_words"))
+
+
 def discover_topics(
     reviews: DataFrame,
     k: int = 5,
     terms: int = 8,
     seed: int = 42,
-    vocabulary: int = 20_000,
+    min_documents: int = 1,
     languages: tuple[str, ...] = ("portuguese",),
-    max_iterations: int = 10,
+    passes: int = 20,
 ) -> TopicModel:
-    """Fit ``k`` topics on all given texts; the online optimiser reads them in mini-batches.
+    """Fit ``k`` topics on all given texts.
 
-    Every pass of the fit reads the texts or their term counts again, so both are checkpointed.
+    The vocabulary holds every term that at least ``min_documents`` texts have, but stop words; it is kept on the
+    driver by the term counter, so raise that number where the corpus has millions of terms. The online optimiser
+    draws in each of its ``passes`` as many texts as there are, with replacement: with 20 passes the chance that a
+    text is never drawn is two in a thousand million. The passes read the written term counts, not the texts.
     """
     if not MIN_TOPICS <= k <= MAX_TOPICS:
         raise ValueError(f"k must be {MIN_TOPICS}..{MAX_TOPICS}")
     stop_words = [w for language in languages for w in StopWordsRemover.loadDefaultStopWords(language)]
-    reviews = checkpointed(reviews.select("order_id", TEXT))
-    prepare = Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=TEXT, outputCol="_tokens", pattern=r"\P{L}+", minTokenLength=3),
-            StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=stop_words),
-            CountVectorizer(inputCol="_words", outputCol="features", vocabSize=vocabulary),
-        ]
-    ).fit(reviews)
-    lda = LDA(k=k, seed=seed, maxIter=max_iterations, optimizer="online", featuresCol="features")
-    counts = checkpointed(prepare.transform(reviews).select("features"))
-    return TopicModel(prepare, lda.fit(counts), terms)
+    known = term_documents(reviews).where((F.col("documents") >= min_documents) & ~F.col("term").isin(stop_words))
+    vocabulary = [r.term for r in known.orderBy(F.desc("documents"), "term").collect()]
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="features")
+    counts = written(counter.transform(_words(reviews)).select("features"), "term-counts")
+    lda = LDA(k=k, seed=seed, maxIter=passes, optimizer="online", subsamplingRate=1.0, featuresCol="features")
+    return TopicModel(counter, lda.fit(counts), terms)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Temporary folders of local sessions, by application; removed when Python ends.
+_TEMPORARY: dict[str, str] = {}
+
 
 def build_session(app_name: str = "stallwise", master: str | None = None, **conf) -> SparkSession:
     """Session with UTC, AQE and AQE skew handling on; ANSI mode stays at Spark's default.
@@ -21,8 +28,6 @@ def build_session(app_name: str = "stallwise", master: str | None = None, **conf
         # Split skewed joins even where the next step then needs one more shuffle.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        # Review texts may be long: keep the batches that reach Python workers small.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     )
     if master:
         builder = builder.master(master)
@@ -34,19 +39,28 @@ def build_session(app_name: str = "stallwise", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a fresh temporary folder.
+    Only a local session may go without the setting; it then gets one temporary folder, removed at the end.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="stallwise-")
+    application = spark.sparkContext.applicationId
+    if application not in _TEMPORARY:
+        _TEMPORARY[application] = tempfile.mkdtemp(prefix="stallwise-")
+        atexit.register(shutil.rmtree, _TEMPORARY[application], ignore_errors=True)
+    return _TEMPORARY[application]
+
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as Parquet in the shared folder, read back: computed once, and it outlives lost executors.
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: computed once, and it outlives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    The files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

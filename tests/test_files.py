@@ -150,11 +150,14 @@ class _Session:
 
     def __init__(self, setting, master):
         self.conf = {"spark.checkpoint.dir": setting} if setting else {}
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
 
 
 def test_shared_dir_follows_the_session():
     assert shared_dir(_Session("/shared/place/", "yarn")) == "/shared/place"
     with pytest.raises(ValueError):
         shared_dir(_Session(None, "yarn"))
-    assert os.path.isdir(shared_dir(_Session(None, "local[2]")))
+    with pytest.raises(ValueError):
+        shared_dir(_Session(None, "local-cluster[2,1,1024]"))
+    folder = shared_dir(_Session(None, "local[2]"))
+    assert os.path.isdir(folder) and shared_dir(_Session(None, "local[*]")) == folder
