@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from stallwise.functions.constants import DELIVERED
+from stallwise.functions.numeric import round_half_up
 from stallwise.operators.outliers import IS_OUTLIER
 from stallwise.operators.uniqueness import repeat_count
 
@@ -20,11 +21,13 @@ TREATMENTS = {
 }
 
 
-def _record(count_row: DataFrame, rule: str) -> DataFrame:
+def _record(count_row: DataFrame, rule: str, method=None, limit=None) -> DataFrame:
     return count_row.select(
         F.lit(rule).alias("rule"),
         F.col("occurrences").cast("bigint").alias("occurrences"),
         F.lit(TREATMENTS[rule]).alias("treatment"),
+        F.lit(method).cast("string").alias("method"),
+        (F.lit(None) if limit is None else limit).cast("double").alias("upper_limit"),
     )
 
 
@@ -53,13 +56,25 @@ def products_without_category(products: DataFrame) -> DataFrame:
     return _record(products.agg(F.count(F.when(missing, 1)).alias("occurrences")), "products_without_category")
 
 
-def price_outliers(items: DataFrame) -> DataFrame:
-    return _record(items.agg(F.count(F.when(F.col(IS_OUTLIER), 1)).alias("occurrences")), "price_outliers")
+def price_outliers(items: DataFrame, limit: Row | None = None) -> DataFrame:
+    """Flagged items, with the method and the limit of the flag if its row (of ``outlier_limit``) is given."""
+    found = items.agg(F.count(F.when(F.col(IS_OUTLIER), 1)).alias("occurrences"))
+    if limit is None:
+        return _record(found, "price_outliers")
+    return _record(
+        found, "price_outliers", limit.method, round_half_up(F.lit(limit.upper_limit).cast("double"), 6)
+    )
 
 
-def audit(orders: DataFrame, products: DataFrame, reviews: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """Rows rule, occurrences, treatment; the outlier record comes first when items are given."""
-    records = [price_outliers(items)] if items is not None else []
+def audit(
+    orders: DataFrame,
+    products: DataFrame,
+    reviews: DataFrame,
+    items: DataFrame | None = None,
+    limit: Row | None = None,
+) -> DataFrame:
+    """Rows rule, occurrences, treatment, method, upper_limit; the outlier record comes first when items are given."""
+    records = [price_outliers(items, limit)] if items is not None else []
     records += [
         duplicate_reviews(reviews),
         conflicting_scores(reviews),

@@ -58,15 +58,19 @@ def outlier_limit(
 
 
 def flag_outliers(
-    df: DataFrame, column: str = "price", flag: str = IS_OUTLIER, basis: DataFrame | None = None, **options
+    df: DataFrame,
+    column: str = "price",
+    flag: str = IS_OUTLIER,
+    limit: float | None = None,
+    **options,
 ) -> DataFrame:
     """Add ``flag``; rows without a value, or without a limit, are not outliers.
 
-    The limit is that of the rows of ``basis``, by default of all rows.
-    The limit is a scalar subquery: a query that does not read the flag does not compute it.
+    Without a given ``limit`` it is that of all rows, as a scalar subquery: a query that does not read
+    the flag does not compute it.
     """
-    limit = outlier_limit(df if basis is None else basis, column, **options).select("upper_limit").scalar()
-    return df.withColumn(flag, F.coalesce(dbl(column) > limit, F.lit(False)))
+    above = outlier_limit(df, column, **options).select("upper_limit").scalar() if limit is None else F.lit(limit)
+    return df.withColumn(flag, F.coalesce(dbl(column) > above, F.lit(False)))
 
 
 def linear_fence(df: DataFrame, column: str = "price", multiplier: float = 3.0) -> DataFrame:

@@ -1,9 +1,9 @@
 """Referential integrity: orphans leave the child table with a reason.
 
 A NULL child key is an orphan unless the parent holds NULL too, so keys compare null-safe.
-Only distinct child keys meet the parent; the child's rows then meet just the orphan keys, which
-AQE broadcasts when the measured size allows. A key that fills a third of the child is one row in
-the first step.
+Only distinct child keys meet the parent; the child's rows then meet just the orphan keys. Where those
+measure small, AQE broadcasts them and the rows stay in place; else the rows are shuffled by the key
+and AQE splits a hot one. A key that fills a third of the child is one row in the first step.
 """
 
 from __future__ import annotations

@@ -10,9 +10,6 @@ from pyspark.sql import Window as W
 
 IS_REPEAT = "is_repeat"
 
-# Tasks a single hot key is spread over while its rows are numbered.
-SPREAD = 256
-
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys: Sequence[str]) -> Column:
     condition = F.lit(True)
@@ -27,36 +24,31 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], fl
     NULL keys are equal to each other. Files have no row order here, so the caller names the
     order; the remaining columns break ties, and of rows that are equal throughout one is kept.
 
-    Only the key columns of the whole table are shuffled, pre-aggregated. Rows of keys that occur
-    once pass through; rows of repeated keys are numbered in two steps, first inside ``SPREAD``
-    slices of the key and then among the at most ``SPREAD`` slice leaders, so that no task ever
-    holds all rows of a hot key.
+    No row is numbered. Keys are counted (map-side, keys only); of keys that occur again, equal rows
+    become one row with a count and the first row of the key is a minimum, both combined before the
+    shuffle, so a hot key is a few rows per task. A row is a repeat if it comes after that first one;
+    rows equal to a first that occurs several times are put back from the count. Nothing depends on
+    the place of a row, so a recomputed task gives the same rows. Whole rows are joined to the firsts
+    of repeated keys once, by broadcast where those are few.
     """
     keys = list(keys)
+    rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
     renamed = [f"_key{i}" for i in range(len(keys))]
-    repeated = (
-        df.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .drop("_n")
-    )
-    on = null_safe_on(df, repeated, keys, renamed)
-    single = df.join(repeated, on, "left_anti").withColumn(flag, F.lit(False))
-
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    place = [F.col(c).asc_nulls_first() for c in [*order_by, *rest]]
-    slices = W.partitionBy(*keys, "_slice").orderBy(*place)
-    leaders = W.partitionBy(*keys, "_group").orderBy(*place)
-    numbered = (
-        df.join(repeated, on, "left_semi")
-        .withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)))
-        .withColumn("_in_slice", F.row_number().over(slices))
-        .withColumn("_group", F.when(F.col("_in_slice") == 1, F.lit(-1)).otherwise(F.col("_slice")))
-        .withColumn("_in_group", F.row_number().over(leaders))
-        .withColumn(flag, ~((F.col("_in_slice") == 1) & (F.col("_in_group") == 1)))
-        .drop("_slice", "_in_slice", "_group", "_in_group")
-    )
-    return single.unionByName(numbered)
+    as_keys = [F.col(k).alias(r) for k, r in zip(keys, renamed)]
+    again = df.groupBy(*as_keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    repeated = df.join(again, null_safe_on(df, again, keys, renamed), "left_semi")
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("_none"))
+    alike = repeated.groupBy(*as_keys, row.alias("_row")).agg(F.count(F.lit(1)).alias("_alike"))
+    firsts = alike.groupBy(*renamed).agg(F.min(F.struct("_row", "_alike")).alias("_first"))
+    firsts = firsts.select(*renamed, F.col("_first._row").alias("_row"), F.col("_first._alike").alias("_alike"))
+
+    joined = df.join(firsts, null_safe_on(df, firsts, keys, renamed), "left")
+    is_first = row.eqNullSafe(F.col("_row"))
+    kept = joined.filter(F.col("_alike").isNull() | (F.col("_alike") == 1) | ~is_first)
+    kept = kept.select(*df.columns, (F.col("_alike").isNotNull() & ~is_first).alias(flag))
+    back = firsts.filter("_alike > 1").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_alike"))))
+    values = {k: F.col(r) for k, r in zip(keys, renamed)} | {c: F.col("_row").getField(c) for c in rest}
+    return kept.unionByName(back.select(*[values[c].alias(c) for c in df.columns], (F.col("_copy") > 1).alias(flag)))
 
 
 def repeat_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

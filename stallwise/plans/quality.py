@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from stallwise.functions.constants import BOLETO
 from stallwise.operators import audit as audits
 from stallwise.operators import rules as r
-from stallwise.operators.outliers import flag_outliers
+from stallwise.operators.outliers import flag_outliers, outlier_limit
 from stallwise.operators.references import (
     FAILED_REFERENCE,
     Reference,
@@ -168,14 +169,18 @@ def run_quality(
     A row fails its entity's rules first and then the references in order, so each check counts
     and quarantines what the earlier ones left. ``keep`` may materialise a tagged entity: the file
     run hands in a table writer, so that it is computed once and then read for the clean part, the
-    bad part, the counts and the children. Without it everything stays one lazy plan.
+    bad part, the counts and the children. Without it all but the outlier limit stays one lazy plan.
     """
     result = QualityResult()
     broken = F.size(r.VIOLATIONS) > 0
+    limit = None
     for entity, rule_set in (sets or rule_sets()).items():
         tagged = tag_entity(frames[entity], rule_set)
         if entity == "order_items":
-            tagged = flag_outliers(tagged, "price", basis=tagged.filter(~broken), **(outliers or {}))
+            # One row, read now: the flag and the audit share it.
+            limit = outlier_limit(tagged.filter(~broken), "price", **(outliers or {})).first()
+            above = math.inf if limit.upper_limit is None else limit.upper_limit
+            tagged = flag_outliers(tagged, "price", limit=above)
         refs = [
             Reference(name, column, result.clean[parent], parent_column)
             for child, name, column, parent, parent_column in REFERENCES
@@ -197,7 +202,7 @@ def run_quality(
             .drop(r.VIOLATIONS, FAILED_REFERENCE)
         )
     result.audit = audits.audit(
-        result.clean["orders"], result.clean["products"], result.clean["reviews"], result.clean["order_items"]
+        result.clean["orders"], result.clean["products"], result.clean["reviews"], result.clean["order_items"], limit
     )
     if "category_translation" in frames:
         result.clean["category_translation"] = frames["category_translation"]

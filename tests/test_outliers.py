@@ -16,18 +16,15 @@ def flags(df):
     return {r.id: r.is_price_outlier for r in outliers.flag_outliers(df).collect()}
 
 
-def test_extreme_price_is_flagged_and_kept(spark):
-    rng = np.random.default_rng(42)
-    values = [round(v, 2) for v in np.exp(rng.normal(4.0, 0.6, 500))] + [500000.0]
-    df = prices(spark, values)
-    found = flags(df)
-    assert len(found) == 501 and found[500]
-    limit = outliers.outlier_limit(df).first()
-    logs = np.log(np.array(values))
-    q1, q3 = np.quantile(logs, [0.25, 0.75])
-    assert limit.method == outliers.LOG_FENCE
-    assert limit.upper_limit == pytest.approx(np.exp(q3 + 3 * (q3 - q1)))
-    assert limit.skewness == pytest.approx(pd.Series(values).skew())
+def test_far_price_is_flagged_and_kept(spark):
+    # Powers of two, each twice: logarithms 0..7 in steps of ln 2, quartiles at 1.75 and 5.25 steps, so the fence
+    # with a factor of one lies at 8.75 steps: 2 ** 8.75, about 430.5.
+    df = prices(spark, [2.0**i for i in range(8) for _ in range(2)] + [430.0, 431.0])
+    whole = outliers.outlier_limit(df.filter("price < 200"), iqr_multiplier=1.0).first()
+    assert (whole.n, whole.method) == (16, outliers.LOG_FENCE)
+    assert whole.upper_limit == pytest.approx(2**8.75)
+    flagged = outliers.flag_outliers(df, limit=whole.upper_limit).collect()
+    assert len(flagged) == 18 and [r.id for r in flagged if r.is_price_outlier] == [17]
 
 
 def test_too_few_prices_give_no_limit(spark):

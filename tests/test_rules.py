@@ -7,17 +7,15 @@ from stallwise.operators import report, rules
 from stallwise.plans.quality import RuleSet, rule_sets, single_installment, tag_entity
 
 
-def test_duplicate_key_goes_to_quarantine_and_first_row_stays(spark):
-    df = spark.createDataFrame(
-        [("a", 1000), ("b", 2000), ("b", 2000), ("c", 3000)],
-        "customer_id string, customer_zip_code_prefix int",
-    )
-    tagged = tag_entity(df, rule_sets()["customers"])
-    counts = rules.check_counts(tagged, "customers").first()
-    assert (counts.total, counts.failed, counts.reliability_pct) == (4, 1, 75.0)
-    assert sorted(r.customer_id for r in rules.clean_rows(tagged).collect()) == ["a", "b", "c"]
-    bad = rules.quarantined_rows(tagged).collect()
-    assert [(r.customer_id, r.quarantine_reason) for r in bad] == [("b", "unique(customer_id)")]
+def test_repeated_keys_leave_one_row_each(spark):
+    rows = [("s7", i) for i in range(5)] + [("s8", 0), ("s9", 3), ("s9", 3), (None, 1)]
+    tagged = tag_entity(spark.createDataFrame(rows, "seller_id string, zip int"), rule_sets()["sellers"])
+    counts = rules.check_counts(tagged, "sellers").first()
+    assert (counts.total, counts.failed) == (9, 6)
+    assert sorted(tuple(r)[:2] for r in rules.clean_rows(tagged).collect()) == [("s7", 0), ("s8", 0), ("s9", 3)]
+    reasons = {(r.seller_id, r.zip): r.quarantine_reason for r in rules.quarantined_rows(tagged).collect()}
+    assert reasons.pop((None, 1)) == "not_null(seller_id)"
+    assert reasons == {**{("s7", i): "unique(seller_id)" for i in range(1, 5)}, ("s9", 3): "unique(seller_id)"}
 
 
 def test_null_only_violates_not_null(spark):
