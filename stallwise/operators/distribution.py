@@ -57,10 +57,10 @@ def bucket_offsets(bucketed: DataFrame, weights: Sequence[str], descending: bool
 
 def _levels(bucketed: DataFrame, offsets: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
     """Distinct values of the given buckets with their weights and ``before_<w>``, the total of all
-    earlier values. ``offsets`` has a bounded number of rows, see above."""
+    earlier values. ``offsets`` is small for money, see above, and broadcast if it measures small."""
     carried = [f"{kind}_{w}" for w in weights for kind in ("off", "all")]
     levels = (
-        bucketed.join(F.broadcast(offsets.select("_bucket", *carried)), "_bucket")
+        bucketed.join(offsets.select("_bucket", *carried), "_bucket")
         .groupBy("_bucket", "value", *carried)
         .agg(*[F.sum(w).alias(w) for w in weights])
     )

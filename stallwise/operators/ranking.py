@@ -33,18 +33,22 @@ def share_of_total(df: DataFrame, amount: str, name: str, digits: int) -> DataFr
     return df.withColumn(name, round_half_up(percent(amount, whole), digits))
 
 
-def concentration_curve(owners: DataFrame, revenue: str) -> DataFrame:
-    """Points of the concentration curve, one per distinct revenue, from the largest down.
+def concentration_curve(owners: DataFrame, owner: str, revenue: str) -> DataFrame:
+    """Owners from the largest revenue down (ties by the owner), with running sums and their shares.
 
-    Owners with equal revenue lie on a straight stretch between two points.
+    Running sums are made per distinct revenue; an owner adds its place among those of the same revenue.
+    Only such equals are ordered in one task, by the owner.
     """
     rows = value_rows(owners, F.col(revenue), with_amount=True)
     totals = running_totals(rows, ["n", "amount"], descending=True)
-    cum_n = F.col("before_n") + F.col("n")
-    cum_amount = F.col("before_amount") + F.col("amount")
-    return totals.select(
+    equals = W.partitionBy(revenue).orderBy(owner)
+    placed = owners.select(owner, revenue).withColumn("_place", F.row_number().over(equals))
+    joined = placed.join(totals, placed[revenue] == totals["value"])
+    cum_n = F.col("before_n") + F.col("_place")
+    cum_amount = F.col("before_amount") + F.col("_place") * F.col("value")
+    return joined.select(
+        owner,
         dbl("value").alias("revenue"),
-        big("n").alias("owners"),
         big(cum_n).alias("cum_owners"),
         dbl(cum_amount).alias("cum_revenue"),
         round_half_up(percent(cum_n, F.col("all_n")), 4).alias("cum_owners_pct"),

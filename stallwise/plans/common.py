@@ -24,11 +24,30 @@ def item_totals(star: Star, *extra_keys: str) -> DataFrame:
     )
 
 
-def kept(per_order: DataFrame, star: Star) -> DataFrame:
-    """Rows of orders in the model; for rows already reduced per order."""
+def item_rows(star: Star) -> DataFrame:
+    """Items one by one, with the columns of ``item_totals``: for sums by seller or product.
+
+    Grouping by order and seller would hardly reduce the fact and shuffle it once more. Here the join with the kept
+    or chosen orders comes first: one shuffle by order, a hot order split by AQE, none where few orders are
+    broadcast; what is left is summed on the map side.
+    """
+    return star.order_items.select(
+        "order_id",
+        "product_id",
+        "seller_id",
+        F.lit(1).alias("items"),
+        F.col("price").isNotNull().cast("int").alias("priced"),
+        F.col("price").alias("gmv"),
+        F.col("freight_value").isNotNull().cast("int").alias("freighted"),
+        F.col("freight_value").alias("freight"),
+    )
+
+
+def kept(rows: DataFrame, star: Star) -> DataFrame:
+    """Rows of orders in the model."""
     if star.saved:
-        return per_order
-    return per_order.join(star.fact_orders.select("order_id"), "order_id", "left_semi")
+        return rows
+    return rows.join(star.fact_orders.select("order_id"), "order_id", "left_semi")
 
 
 def delivered(star: Star) -> DataFrame:

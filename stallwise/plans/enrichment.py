@@ -139,31 +139,39 @@ def parse_replies(replies: DataFrame, column: str) -> DataFrame:
 BatchFunction = Callable[[pd.DataFrame], "str | list[dict]"]
 
 
-def _checked(reply, lot: pd.DataFrame, valid: frozenset[str] | None) -> dict[str, dict]:
-    """Reply rows by order id. A row that breaks the contract fails the lot."""
+def _checked(reply, valid: frozenset[str] | None) -> pd.DataFrame:
+    """Reply rows under the contract, the last one of each order. A row that breaks the contract fails the lot."""
     rows = json.loads(reply)["classifications"] if isinstance(reply, str) else reply
-    out = {}
-    for row in rows:
-        for name in FIELDS:
-            wanted = bool if name.startswith("about_") else str
-            if not isinstance(row[name], wanted):
-                raise TypeError(f"{name}: {row[name]!r}")
-        if valid is None or row["category"] in valid:
-            out[row["order_id"]] = {name: row[name] for name in FIELDS}
-    return out
-
-
-def _fallback(order_id: str, text: str, deadline_words, product_words) -> dict:
-    lowered = text.lower()
-    return {
-        "order_id": order_id,
-        "category": UNCLASSIFIED,
-        "reason": FALLBACK_REASON,
-        "severity": UNDETERMINED,
-        "about_deadline": any(w in lowered for w in deadline_words),
-        "about_product": any(w in lowered for w in product_words),
-        "about_service": False,
-    }
+    out = pd.DataFrame(list(rows), columns=FIELDS)
+    for name in FIELDS:
+        wanted = bool if name.startswith("about_") else str
+        if not out[name].map(type).eq(wanted).all():
+            raise TypeError(name)
+    if valid is not None:
+        out = out[out["category"].isin(valid)]
+    return out.drop_duplicates("order_id", keep="last")
+
+
+def _fallback(lot: pd.DataFrame, deadline_words: Sequence[str], product_words: Sequence[str]) -> pd.DataFrame:
+    """The rows of ``fallback_rows`` for a lot; a missing text mentions nothing."""
+    lowered = lot["text"].fillna("").str.lower()
+
+    def mentioned(words: Sequence[str]) -> pd.Series:
+        return reduce(
+            lambda a, b: a | b, [lowered.str.contains(w, regex=False) for w in words], pd.Series(False, lot.index)
+        )
+
+    return pd.DataFrame(
+        {
+            "order_id": lot["order_id"],
+            "category": UNCLASSIFIED,
+            "reason": FALLBACK_REASON,
+            "severity": UNDETERMINED,
+            "about_deadline": mentioned(deadline_words),
+            "about_product": mentioned(product_words),
+            "about_service": False,
+        }
+    )[FIELDS]
 
 
 def classify_lots(
@@ -196,17 +204,14 @@ def classify_lots(
 
     def classify(lot: pd.DataFrame) -> pd.DataFrame:
         lot = lot.reset_index(drop=True)
+        spare = _fallback(lot, deadline_words, product_words)
         try:
-            rows = _checked(batch_function(lot), lot, valid)
+            answered = _checked(batch_function(lot), valid).set_index("order_id")
         except Exception:  # soft failure: any error of the user function marks the lot, not the job
-            rows = {}
-        return pd.DataFrame(
-            [
-                rows.get(key) or _fallback(key, text, deadline_words, product_words)
-                for key, text in zip(lot["order_id"], lot["text"])
-            ],
-            columns=FIELDS,
-        )
+            return spare
+        there = lot["order_id"].isin(answered.index)
+        rows = answered.reindex(lot.loc[there, "order_id"]).reset_index()
+        return pd.concat([rows, spare[~there]], ignore_index=True)[FIELDS]
 
     source = reviews.select(F.col("order_id").cast("string").alias("order_id"), F.col(TEXT).alias("text"))
     if parallelism:
@@ -253,11 +258,11 @@ def save_enriched(classified: DataFrame, base: str, run_id: str | None = None) -
 def enrich(
     fact_orders: DataFrame,
     classify: Callable[[DataFrame], DataFrame],
-    size: int | None = SAMPLE_SIZE,
+    size: int | None = None,
     seed: int = SAMPLE_SEED,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Eligible reviews (a sample of them unless ``size`` is None) through a classifier to the enriched fact."""
+    """Eligible reviews (a sample of them if ``size`` says so) through a classifier to the enriched fact."""
     reviews = eligible(fact_orders) if size is None else review_sample(fact_orders, size, seed)
     return enriched(classify(reviews), run_id)
 

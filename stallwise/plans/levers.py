@@ -23,7 +23,7 @@ from stallwise.functions.constants import (
 from stallwise.functions.dates import in_window
 from stallwise.functions.numeric import big, count_when, dbl, mean, percent, round_half_up
 from stallwise.operators.ranking import top_rows
-from stallwise.plans.common import delivered, half_of, item_totals, kept, one_value, punctuality
+from stallwise.plans.common import delivered, half_of, item_rows, item_totals, kept, one_value, punctuality
 from stallwise.plans.enrichment import eligible, valid_rows
 from stallwise.plans.retention import late_repurchase
 from stallwise.plans.sellers import ITEM_BANDS, activation_rate, local_seller_gmv
@@ -122,7 +122,7 @@ def installment_multiple(star: Star, many: int = 10, a: Assumptions = DEFAULTS)
 
 def high_ticket_categories(star: Star, min_orders: int = 500, k: int = 6) -> DataFrame:
     """Categories above a number of orders, highest mean price first."""
-    lines = kept(item_totals(star, "product_id"), star)
+    lines = kept(item_rows(star), star)
     products = star.dim_product.select("product_id", F.col("category_name").alias("category"))
     per_category = (
         lines.join(products, "product_id")
@@ -204,10 +204,10 @@ def exposed_revenue(star: Star, a: Assumptions = DEFAULTS) -> DataFrame:
     """Run-rate orders delivered on time whose reviewer is a detractor, and their revenue."""
     orders = _on_time_detractors(star).filter(in_window("purchase_timestamp", a.run_rate)).select("order_id")
     return (
-        item_totals(star)
+        item_rows(star)
         .join(orders, "order_id", "left_semi")
         .agg(
-            F.count(F.lit(1)).alias("orders"),
+            F.count_distinct("order_id").alias("orders"),
             F.coalesce(round_half_up(F.sum("gmv"), 2), F.lit(0.0)).alias("exposed_gmv"),
         )
     )
@@ -215,7 +215,7 @@ def exposed_revenue(star: Star, a: Assumptions = DEFAULTS) -> DataFrame:
 
 def on_time_detraction_categories(star: Star, k: int = 6) -> DataFrame:
     """Categories with most on-time detractors."""
-    lines = item_totals(star, "product_id").join(
+    lines = item_rows(star).join(
         _on_time_detractors(star).select("order_id"), "order_id", "left_semi"
     )
     products = star.dim_product.select("product_id", F.col("category_name").alias("category"))
@@ -279,31 +279,33 @@ def supply_lever(star: Star, a: Assumptions = DEFAULTS) -> DataFrame:
 
 def consolidated(star: Star, a: Assumptions = DEFAULTS) -> DataFrame:
     """Minimum and maximum per lever and in total, against the run-rate base."""
-    def span(df: DataFrame, name: str) -> DataFrame:
+    def span(df: DataFrame, name: str, mechanism: str) -> DataFrame:
         return df.agg(
             F.coalesce(F.min("value"), F.lit(0.0)).alias("low"), F.coalesce(F.max("value"), F.lit(0.0)).alias("high")
-        ).select(F.lit(name).alias("lever"), "low", "high")
+        ).select(F.lit(name).alias("lever"), F.lit(mechanism).alias("mechanism"), "low", "high")
 
     levers = reduce(
         DataFrame.unionByName,
         [
-            span(ticket_lever(star, a), "1. installments"),
-            span(curation_lever(star, a), "2. curation"),
-            span(supply_lever(star, a), "3. local supply"),
+            span(ticket_lever(star, a), "1. installments", "larger tickets paid in installments"),
+            span(curation_lever(star, a), "2. curation", "revenue kept by fewer complaints on punctual orders"),
+            span(supply_lever(star, a), "3. local supply", "revenue of recruited local sellers"),
         ],
     )
     per_lever = levers.agg(
-        F.sort_array(F.collect_list(F.struct("lever", "low", "high"))).alias("levers"),
+        F.sort_array(F.collect_list(F.struct("lever", "mechanism", "low", "high"))).alias("levers"),
         F.sum(F.col("low").cast("decimal(18,2)")).alias("low"),
         F.sum(F.col("high").cast("decimal(18,2)")).alias("high"),
     )
-    total = F.struct(F.lit("total").alias("lever"), dbl("low").alias("low"), dbl("high").alias("high"))
+    none = F.lit(None).cast("string").alias("mechanism")
+    total = F.struct(F.lit("total").alias("lever"), none, dbl("low").alias("low"), dbl("high").alias("high"))
     base = one_value(run_rate_base(star, a), "gmv")
     return (
         per_lever.select(F.explode(F.concat("levers", F.array(total))).alias("r"))
         .select("r.*", base.alias("base"))
         .select(
             "lever",
+            "mechanism",
             "low",
             "high",
             round_half_up(percent("low", "base"), 2).alias("low_pct"),

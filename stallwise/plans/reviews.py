@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stallwise.functions.constants import CONTROLLABLE_PARTS, FALLBACK_LIMIT
 from stallwise.functions.numeric import big, count_when, dbl, percent, round_half_up
 from stallwise.operators.ranking import share_of_total, top_rows
-from stallwise.plans.common import item_totals
+from stallwise.plans.common import item_rows
 from stallwise.plans.enrichment import eligible, valid_rows
 from stallwise.plans.star import Star
 
@@ -98,7 +98,7 @@ def category_by_punctuality(classified: DataFrame, star: Star) -> DataFrame:
 
 def revenue_by_category(classified: DataFrame, star: Star) -> DataFrame:
     """Orders, revenue and freight touched by each category."""
-    joined = _valid(classified).select("order_id", "category").join(item_totals(star), "order_id")
+    joined = _valid(classified).select("order_id", "category").join(item_rows(star), "order_id")
     return joined.groupBy("category").agg(
         F.count_distinct("order_id").alias("orders"),
         round_half_up(F.sum("gmv"), 2).alias("gmv"),
@@ -114,7 +114,7 @@ def sellers_with_complaints(
     orders = _valid(classified).filter(controllable).select("order_id")
     sellers = star.dim_seller.select("seller_id", "state")
     per_seller = (
-        item_totals(star, "seller_id")
+        item_rows(star)
         .join(orders, "order_id", "left_semi")
         .groupBy("seller_id")
         .agg(F.count_distinct("order_id").alias("complaints"), F.sum("gmv").alias("gmv"))
@@ -125,7 +125,7 @@ def sellers_with_complaints(
 
 
 def product_categories_with_complaints(classified: DataFrame, star: Star, k: int = 8) -> DataFrame:
-    lines = item_totals(star, "product_id").join(_valid(classified).select("order_id"), "order_id", "left_semi")
+    lines = item_rows(star).join(_valid(classified).select("order_id"), "order_id", "left_semi")
     products = star.dim_product.select("product_id", F.col("category_name").alias("product_category"))
     per_category = (
         lines.join(products, "product_id")

@@ -9,7 +9,7 @@ from stallwise.functions.constants import COMPLETE_MONTHS
 from stallwise.functions.dates import in_window, year_month
 from stallwise.functions.numeric import big, dbl, mean, percent, ratio, round_half_up
 from stallwise.operators.ranking import best_row, share_of_total, top_rows
-from stallwise.plans.common import item_totals, kept
+from stallwise.plans.common import item_rows, item_totals, kept
 from stallwise.plans.star import Star
 
 
@@ -52,7 +52,7 @@ def seasonality(star: Star, window: tuple[str, str] = COMPLETE_MONTHS) -> DataFr
 def category_ranking(star: Star) -> DataFrame:
     """Items, mean price, revenue and share per named category; items are summed per product first."""
     per_product = (
-        kept(item_totals(star, "product_id"), star)
+        kept(item_rows(star), star)
         .groupBy("product_id")
         .agg(F.sum("items").alias("items"), F.sum("priced").alias("priced"), F.sum("gmv").alias("gmv"))
     )

@@ -17,15 +17,15 @@ from stallwise.operators.ranking import (
     default_labels,
     share_of_total,
 )
-from stallwise.plans.common import delivered, item_totals, kept
+from stallwise.plans.common import delivered, item_rows, kept
 from stallwise.plans.star import Star
 
 ITEM_BANDS = (10, 50, 200)
 
 
 def seller_revenue(star: Star) -> DataFrame:
-    """Items and revenue per seller; summed per order and seller before orders are checked."""
-    per_seller = kept(item_totals(star, "seller_id"), star).groupBy("seller_id")
+    """Items and revenue per seller."""
+    per_seller = kept(item_rows(star), star).groupBy("seller_id")
     return per_seller.agg(big(F.sum("items")).alias("items"), F.sum("gmv").alias("gmv"))
 
 
@@ -34,7 +34,7 @@ def pareto_thresholds(star: Star, thresholds: Sequence[int] = (50, 70, 80)) -> D
 
 
 def pareto_curve(star: Star) -> DataFrame:
-    return concentration_curve(seller_revenue(star), "gmv")
+    return concentration_curve(seller_revenue(star), "seller_id", "gmv")
 
 
 def activation_bands(star: Star, limits: Sequence[int] = ITEM_BANDS) -> DataFrame:
@@ -90,7 +90,7 @@ def supply_imbalance(star: Star, states: Sequence[str] = FOCUS_STATES) -> DataFr
 
 
 def _focus_lines(star: Star, states: Sequence[str]) -> DataFrame:
-    """Delivered orders of customers in the states, per order and seller, with the seller's state."""
+    """Items of delivered orders of customers in the states, with the seller's state."""
     buyers = star.dim_customer.filter(F.col("state").isin(list(states))).select("customer_id")
     orders = (
         delivered(star)
@@ -99,7 +99,7 @@ def _focus_lines(star: Star, states: Sequence[str]) -> DataFrame:
         .join(buyers, "customer_id", "left_semi")
     )
     sellers = star.dim_seller.select("seller_id", F.col("state").alias("seller_state"))
-    lines = item_totals(star, "seller_id").select("order_id", "seller_id", "items", "freight", "freighted")
+    lines = item_rows(star).select("order_id", "seller_id", "items", "freight", "freighted")
     return orders.join(lines, "order_id").join(sellers, "seller_id")
 
 
@@ -140,11 +140,11 @@ def local_seller_gmv(
     orders = star.fact_orders.filter(in_window("purchase_timestamp", window)).select("order_id")
     local = star.dim_seller.filter(F.col("state").isin(list(states))).select("seller_id")
     per_seller = (
-        item_totals(star, "seller_id")
+        item_rows(star)
+        .join(local, "seller_id", "left_semi")
         .join(orders, "order_id", "left_semi")
         .groupBy("seller_id")
         .agg(F.sum("gmv").alias("gmv"))
-        .join(local, "seller_id", "left_semi")
     )
     return per_seller.agg(
         F.count(F.lit(1)).alias("sellers"),

@@ -66,10 +66,17 @@ def test_significance_matches_the_corrected_chi_square(spark, monkeypatch):
     n = a + b + c + d
     want = n * (abs(a * d - b * c) - n / 2) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d))
     assert row.chi2 == pytest.approx(want)
-    assert row.p_value == pytest.approx(math.erfc(math.sqrt(want / 2)))
+    assert row.p_value == round(math.erfc(math.sqrt(want / 2)), 6)
     assert row.effect_pp == pytest.approx(1.5)
 
 
+def test_upper_tail_is_the_error_function(spark):
+    values = [0.0, 1e-6, 0.1, 1.0, 3.84, 10.0, 30.0, 100.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for row in df.select("x", retention.upper_tail(df.x).alias("p")).collect():
+        assert row.p == pytest.approx(math.erfc(math.sqrt(row.x / 2)), abs=1e-10)
+
+
 def test_month_distance_counts_boundaries(spark):
     df = spark.sql("SELECT DATE'2018-01-31' AS a, DATE'2018-02-01' AS b")
     assert df.select(months_between_boundaries(df.a, df.b)).first()[0] == 1

@@ -109,10 +109,11 @@ def test_concentration_thresholds_match_brute_force(spark, seed):
 
 def test_equal_owners_are_one_level(spark):
     """A hot revenue value is crossed in the middle without numbering its owners."""
-    owners = spark.range(1000).select(F.lit("10.00").cast("decimal(28,2)").alias("gmv"))
+    owners = spark.range(1000).select("id", F.lit("10.00").cast("decimal(28,2)").alias("gmv"))
     rows = {r.pct_revenue: (r.sellers, r.pct_sellers) for r in ranking.concentration_thresholds(owners, "gmv").collect()}
     assert rows == {50: (500, 50.0), 70: (700, 70.0), 80: (800, 80.0)}
-    assert ranking.concentration_curve(owners, "gmv").count() == 1
+    curve = ranking.concentration_curve(owners, "id", "gmv").orderBy("id").collect()
+    assert [(r.id, r.cum_owners, r.cum_revenue) for r in curve] == [(i, i + 1, 10.0 * (i + 1)) for i in range(1000)]
 
 
 def test_top_per_group_limits_before_the_shuffle(spark):

@@ -96,6 +96,20 @@ def test_reply_off_contract_fails_the_lot(spark, bad):
     assert {r.category for r in got.values()} == {UNCLASSIFIED}
 
 
+def test_missing_text_does_not_stop_a_failing_lot(spark):
+    df = texts(spark, [("a", None), ("b", "PRAZO")]).coalesce(1)
+    got = by_key(e.classify_lots(df, lambda lot: "no json"))
+    assert {k: (r.category, r.about_deadline) for k, r in got.items()} == {
+        "a": (UNCLASSIFIED, False), "b": (UNCLASSIFIED, True),
+    }
+
+
+def test_rare_words_reach_the_vocabulary(spark):
+    df = texts(spark, [(f"o{i}", "alpha beta gamma delta " * 3 + ("unheard" if i == 7 else "")) for i in range(30)])
+    assert "unheard" in topics.discover_topics(df, k=4, passes=2).counter.vocabulary
+    assert "unheard" not in topics.discover_topics(df, k=4, passes=2, min_documents=2).counter.vocabulary
+
+
 def test_json_replies_become_rows(spark):
     good = json.dumps({"classifications": [answer("a"), answer("b")]})
     df = spark.createDataFrame([(good,), ("no json",), (None,)], "reply string")
@@ -147,7 +161,7 @@ def test_enrich_runs_the_whole_chain(spark):
 def test_topics_fill_the_taxonomy_contract(spark):
     words = ["atraso entrega demora prazo", "produto quebrado defeito peça", "suporte resposta atendimento email"]
     df = texts(spark, [(f"o{i}", words[i % 3]) for i in range(90)])
-    model = topics.discover_topics(df, k=4, terms=3, max_iterations=5)
+    model = topics.discover_topics(df, k=4, terms=3, passes=5)
     row = model.taxonomy(df).first()
     assert len(row.categories) == 4 and all(len(c.keywords) == 3 for c in row.categories)
     known = {c.category_id for c in row.categories}
