@@ -1,7 +1,15 @@
 """Quality checks."""
 
 from oracle.base import ENTITIES, avg, pct, rnd, with_model
-from stallwise.operators.audit import TREATMENTS
+
+# Fixed values, stated apart from the code that is compared; a test holds the two against each other.
+TREATMENTS = {
+    "price_outliers": "flagged, kept in the items fact so that revenue stays whole",
+    "duplicate_reviews": "latest review of the order wins",
+    "conflicting_scores": "latest review wins; score and comment come from the same row",
+    "delivered_without_date": "kept; lateness is NULL, so out of every punctuality metric",
+    "products_without_category": "shown as 'unknown'",
+}
 
 _RAW = f"WITH {ENTITIES.strip()}"
 
@@ -126,15 +134,23 @@ checks AS (
 ) + ")"
 
 
-def _audit_row(rule: str, query: str) -> str:
+def _audit_row(rule: str, query: str, method: str = "NULL", limit: str = "NULL") -> str:
     treatment = TREATMENTS[rule].replace("'", "''")
-    return f"SELECT '{rule}' AS rule, ({query})::BIGINT AS occurrences, '{treatment}' AS treatment"
+    return (
+        f"SELECT '{rule}' AS rule, ({query})::BIGINT AS occurrences, '{treatment}' AS treatment, "
+        f"{method}::VARCHAR AS method, {limit}::DOUBLE AS upper_limit"
+    )
 
 
 def _audit(orders: str, reviews: str, items: str, limit: str) -> str:
     return " UNION ALL ".join(
         [
-            _audit_row("price_outliers", f"SELECT count(*) FROM {items} WHERE price::DOUBLE > (SELECT upper_limit FROM {limit})"),
+            _audit_row(
+                "price_outliers",
+                f"SELECT count(*) FROM {items} WHERE price::DOUBLE > (SELECT upper_limit FROM {limit})",
+                "'z_score'",
+                rnd(f"SELECT upper_limit FROM {limit}", 6),
+            ),
             _audit_row("duplicate_reviews", f"SELECT count(*) - count(DISTINCT order_id) FROM {reviews}"),
             _audit_row(
                 "conflicting_scores",

@@ -1,8 +1,17 @@
 """Review texts, classification and root causes."""
 
 from oracle.base import pct, rnd, with_model
-from stallwise.catalogue import DEADLINE_WORDS, PRODUCT_WORDS, TAXONOMY
-from stallwise.functions.constants import FALLBACK_REASON
+
+# Fixed values, stated apart from the code that is compared; a test holds the two against each other.
+FALLBACK_REASON = "Falha na chamada ao modelo; registro não classificado"
+DEADLINE_WORDS = ["pour", "thing"]
+PRODUCT_WORDS = ["with", "from"]
+TAXONOMY = {
+    "slow_parcel": ["pour", "nicht", "thing"],
+    "wrong_item": ["with", "avec", "mente"],
+    "broken_item": ["from", "dans", "heit"],
+    "no_answer": ["this", "sich", "para"],
+}
 
 
 def _has(word: str) -> str:
@@ -20,7 +29,7 @@ eligible AS (
 
 _SAMPLE = """
 sampled AS (
-  SELECT * FROM eligible ORDER BY md5('42-' || order_id), order_id LIMIT 400)"""
+  SELECT * FROM eligible ORDER BY md5('42-' || order_id), order_id LIMIT 20)"""
 
 
 def _score(words: list[str]) -> str:
@@ -80,7 +89,27 @@ TEXT_SQL = {
         _ELIGIBLE,
     ),
     "text_classify_keywords": with_model("SELECT * EXCLUDE (is_fallback) FROM classified", *_ALL),
-    "text_classify_lots": with_model(f"SELECT {_FIELDS} FROM classified", *_ALL),
+    "text_classify_lots": with_model(
+        f"""
+    SELECT order_id::VARCHAR AS order_id,
+           CASE WHEN lost THEN 'nao_classificado' ELSE category END AS category,
+           CASE WHEN lost THEN '{FALLBACK_REASON}' ELSE reason END AS reason,
+           CASE WHEN lost THEN 'indeterminada' ELSE severity END AS severity,
+           CASE WHEN lost THEN {_any(DEADLINE_WORDS)} ELSE about_deadline END AS about_deadline,
+           CASE WHEN lost THEN {_any(PRODUCT_WORDS)} ELSE about_product END AS about_product,
+           about_service AND NOT lost AS about_service
+    FROM (SELECT *, {_has("für")} OR category = 'broken_item' AS lost FROM classified JOIN eligible USING (order_id))""",
+        *_ALL,
+    ),
+    "text_parse_replies": with_model(f"SELECT {_FIELDS} FROM classified WHERE order_id % 5 <> 0", *_ALL),
+    "text_topic_terms": with_model(
+        """
+    SELECT term, count(*) AS documents
+    FROM (SELECT DISTINCT order_id, unnest(regexp_split_to_array(lower(review_comment_message), '\\P{L}+')) AS term
+          FROM eligible)
+    WHERE length(term) >= 3 GROUP BY 1""",
+        _ELIGIBLE,
+    ),
     "text_enriched": with_model("SELECT *, 'fixture' AS run_id FROM classified", *_ALL),
     "text_failure_share": with_model(
         f"SELECT count(*) AS total, count(*) FILTER (is_fallback) AS unclassified, "
@@ -141,7 +170,7 @@ REVIEWS_SQL = {
         f"""
     SELECT s.seller_id, s.state, count(DISTINCT v.order_id) AS complaints, {rnd("sum(i.price)", 2)} AS gmv
     FROM valid v JOIN fact_items i ON v.order_id = i.order_id JOIN sellers s ON i.seller_id = s.seller_id
-    WHERE category LIKE '%incompleto%' OR category LIKE '%divergente%' OR category LIKE '%defeito%'
+    WHERE category LIKE '%wrong%' OR category LIKE '%broken%'
     GROUP BY 1, 2 ORDER BY complaints DESC, s.seller_id LIMIT 8""",
         *_VALID,
     ),
@@ -149,7 +178,7 @@ REVIEWS_SQL = {
         f"""
     SELECT p.category_name AS product_category, count(DISTINCT v.order_id) AS complaints, {rnd("sum(i.price)", 2)} AS gmv
     FROM valid v JOIN fact_items i ON v.order_id = i.order_id JOIN dim_product p ON i.product_id = p.product_id
-    GROUP BY 1 ORDER BY complaints DESC, product_category LIMIT 8""",
+    GROUP BY 1 ORDER BY complaints DESC, product_category LIMIT 3""",
         *_VALID,
     ),
     "lever_complaint_distribution": with_model(
