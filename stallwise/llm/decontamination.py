@@ -39,7 +39,9 @@ LEAST = 24
 BLOCK_CHARS = 4_000_000
 #: Bits of a q-gram hash that the bitmap uses, and characters of documents looked up at a time.
 _MAP_BITS = 24
-_AT_ONCE = 1 << 19
+_AT_ONCE = 1 << 20
+#: Candidates aligned together.
+_ALIGNED = 256
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -121,35 +123,58 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _MAP_BITS)
 
 
-def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int, int] | None:
-    """(start, end, edits) of the item's best occurrence in the text with all its diagonals in [low, high).
+Candidate = tuple[np.ndarray, np.ndarray, int, int]
 
-    None if it takes more than ``most`` edits. Ties: the earliest end, then the latest start.
+
+def aligned(candidates: list[Candidate]) -> list[tuple[int, int, int] | None]:
+    """(start, end, edits) of each candidate's best occurrence with all diagonals in its band; None: too many edits.
+
+    A candidate is (item, text, lowest diagonal, edits at most); its band has 2 (edits + 1) diagonals. All are
+    aligned together, a character of the items at a time. Ties: the earliest end, then the latest start.
     """
-    width = high - low
-    n = len(text)
-    diagonals = np.arange(low, high)
+    out = []
+    for at in range(0, len(candidates), _ALIGNED):
+        out += _aligned(candidates[at : at + _ALIGNED])
+    return out
+
+
+def _aligned(candidates: list[Candidate]) -> list[tuple[int, int, int] | None]:
+    low = np.array([c[2] for c in candidates])[:, None]
+    most = np.array([c[3] for c in candidates])
+    widths, lengths = 2 * (most + 1), np.array([len(c[0]) for c in candidates])
+    ends = np.array([len(c[1]) for c in candidates])[:, None]
+    width, longest = int(widths.max()), int(lengths.max())
+    items = np.full((len(candidates), longest), -1, dtype=np.int64)
+    texts = np.full((len(candidates), width + longest), -2, dtype=np.int64)
+    for n, (item, text, first, _) in enumerate(candidates):
+        items[n, : len(item)] = item
+        a, b = max(first, 0), min(first + width + longest, len(text))
+        if a < b:
+            texts[n, a - first : b - first] = text[a:b]
+    place = low + np.arange(width + longest + 1)
+    # Whether a character of the text is there, and whether the text reaches as far.
+    there, reached = (place >= 0) & (place < ends), (place >= 0) & (place <= ends)
     steps = np.arange(width)
-    far = np.int64(len(item) + width + 1)
+    banded = steps < widths[:, None]
     # A cell is edits * span + (place among the starts, later first), so the smaller cell is the better one.
     span = np.int64(width + 1)
-    cost = np.where((diagonals >= 0) & (diagonals <= n), width - 1 - steps, far * span)
-    for i, char in enumerate(item.tolist()):
-        at = diagonals + i
-        inside = (at >= 0) & (at < n)
-        same = np.zeros(width, dtype=bool)
-        same[inside] = text[at[inside]] == char
-        diagonal = np.where(inside, cost + np.where(same, 0, span), far * span)
-        skipped = np.append(cost[1:], far * span) + span
-        new = np.where(at + 1 >= 0, np.minimum(diagonal, skipped), far * span)
-        new = np.minimum.accumulate(new - steps * span) + steps * span
-        cost = np.where((at + 1 >= 0) & (at + 1 <= n), new, far * span)
-    edits = cost // span
-    best = int(edits.argmin())
-    if edits[best] > most:
-        return None
-    start = int(low + width - 1 - cost[best] % span)
-    return start, int(diagonals[best]) + len(item), int(edits[best])
+    far = (longest + width + 1) * span
+    cost = np.where(reached[:, :width] & banded, width - 1 - steps, far)
+    for i in range(longest):
+        same = texts[:, i : i + width] == items[:, i : i + 1]
+        new = np.where(there[:, i : i + width], cost + np.where(same, 0, span), far)
+        new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + span)
+        new = np.minimum.accumulate(new - steps * span, axis=1) + steps * span
+        new = np.where(reached[:, i + 1 : i + 1 + width] & banded, new, far)
+        cost = np.where((lengths > i)[:, None], new, cost)
+    best = (cost // span).argmin(axis=1)
+    cell = cost[np.arange(len(candidates)), best]
+    edits = cell // span
+    starts = low[:, 0] + width - 1 - cell % span
+    stops = low[:, 0] + best + lengths
+    return [
+        (int(a), int(b), int(e)) if e <= k else None for a, b, e, k in zip(starts, stops, edits, most, strict=True)
+    ]
 
 
 def occurrences(texts: list[str | None], items: Items, q: int = Q) -> list[tuple[int, int, int, int, int]]:
@@ -202,11 +227,10 @@ def _occurrences(numbers: list[int], texts: list[str], items: Items, q: int) ->
     new = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(item) != 0) | (np.diff(document) != 0)]))
     counts = np.diff(np.append(new, len(key)))
     kept = new[counts >= items.least[item[new]]]
+    places = list(zip(document[kept].tolist(), item[kept].tolist(), (key[kept] - offset).tolist(), strict=True))
+    bands = [(items.texts[i], forms[d][0], b * (int(items.edits[i]) + 1), int(items.edits[i])) for d, i, b in places]
     found: dict[tuple[int, int], dict[tuple[int, int], int]] = {}
-    for d, i, b in zip(document[kept].tolist(), item[kept].tolist(), (key[kept] - offset).tolist(), strict=True):
-        k = int(items.edits[i])
-        text, item_codes = forms[d][0], items.texts[i]
-        got = aligned(item_codes, text, b * (k + 1), (b + 2) * (k + 1), k)
+    for (d, i, _), got in zip(places, aligned(bands), strict=True):
         if got:
             start, end, edits = got
             spans = found.setdefault((d, i), {})

@@ -8,13 +8,12 @@ from stallwise.llm import decontamination as dc
 
 def distance(item, text):
     """Fewest edits of the item against any passage of the text."""
-    row = [0] * (len(text) + 1)
+    text = np.array([ord(c) for c in text] or [0], dtype=np.int64)[: len(text)]
+    row, steps = np.zeros(len(text) + 1, dtype=np.int64), np.arange(len(text) + 1)
     for i, c in enumerate(item, 1):
-        new = [i]
-        for j, d in enumerate(text, 1):
-            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
-        row = new
-    return min(row)
+        new = np.append(i, np.minimum(row[:-1] + (text != ord(c)), row[1:] + 1))
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row.min())
 
 
 def normal(text):
