@@ -41,12 +41,15 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_bucket", magnitude_bucket(F.col("value")))
 
 
-def bucket_offsets(bucketed: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
-    """Per bucket: its own totals, the totals of the buckets before it, and the grand totals."""
+def bucket_offsets(
+    bucketed: DataFrame, weights: Sequence[str], descending: bool, by: Sequence[str] = ()
+) -> DataFrame:
+    """Per bucket (of each group ``by``): its own totals, those of the buckets before it, and the grand totals."""
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    before = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    everything = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    per_bucket = bucketed.groupBy("_bucket").agg(*[F.sum(w).alias(f"in_{w}") for w in weights])
+    ordered = W.partitionBy(*by).orderBy(order)
+    before = ordered.rowsBetween(W.unboundedPreceding, -1)
+    everything = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    per_bucket = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(w).alias(f"in_{w}") for w in weights])
     columns = {}
     for w in weights:
         zero = F.lit(0).cast(per_bucket.schema[f"in_{w}"].dataType)
@@ -55,17 +58,19 @@ def bucket_offsets(bucketed: DataFrame, weights: Sequence[str], descending: bool
     return per_bucket.withColumns(columns)
 
 
-def _levels(bucketed: DataFrame, offsets: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
+def _levels(
+    bucketed: DataFrame, offsets: DataFrame, weights: Sequence[str], descending: bool, by: Sequence[str] = ()
+) -> DataFrame:
     """Distinct values of the given buckets with their weights and ``before_<w>``, the total of all
     earlier values. ``offsets`` is small for money, see above, and broadcast if it measures small."""
     carried = [f"{kind}_{w}" for w in weights for kind in ("off", "all")]
     levels = (
-        bucketed.join(offsets.select("_bucket", *carried), "_bucket")
-        .groupBy("_bucket", "value", *carried)
+        bucketed.join(offsets.select(*by, "_bucket", *carried), [*by, "_bucket"])
+        .groupBy(*by, "_bucket", "value", *carried)
         .agg(*[F.sum(w).alias(w) for w in weights])
     )
     order = F.col("value").desc() if descending else F.col("value").asc()
-    before = W.partitionBy("_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     columns = {}
     for w in weights:
         zero = F.lit(0).cast(levels.schema[w].dataType)
@@ -79,17 +84,19 @@ def running_totals(rows: DataFrame, weights: Sequence[str], descending: bool = F
     return _levels(bucketed, bucket_offsets(bucketed, weights, descending), weights, descending)
 
 
-def levels_at(rows: DataFrame, weights: Sequence[str], wanted: Column, hit, descending: bool = False) -> DataFrame:
+def levels_at(
+    rows: DataFrame, weights: Sequence[str], wanted: Column, hit, descending: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
     """Distinct values on which a wanted position falls, with the positions in ``hits``.
 
     ``wanted`` is an array column over the ``all_<w>`` totals; ``hit(position, before, own)`` tells
     whether a position falls on a stretch, where ``before`` and ``own`` look up a weight.
     """
     bucketed = _bucketed(rows)
-    needed = bucket_offsets(bucketed, weights, descending).filter(
+    needed = bucket_offsets(bucketed, weights, descending, by).filter(
         F.exists(wanted, lambda p: hit(p, lambda w: F.col(f"off_{w}"), lambda w: F.col(f"in_{w}")))
     )
-    inside = _levels(bucketed, needed, weights, descending)
+    inside = _levels(bucketed, needed, weights, descending, by)
     hits = F.filter(wanted, lambda p: hit(p, lambda w: F.col(f"before_{w}"), lambda w: F.col(w)))
     return inside.withColumn("hits", hits).filter(F.size("hits") > 0)
 
@@ -104,34 +111,44 @@ def quantiles(df: DataFrame, value: Column, probs: Sequence[float], scale=dbl) -
     ``scale`` maps a value before interpolation (``dbl`` itself, or its logarithm); it must be
     increasing, so that order statistics of the value are those of the scaled value.
     """
+    return _quantiles(value_rows(df, value), probs, scale)
+
+
+def _quantiles(rows: DataFrame, probs: Sequence[float], scale=dbl, by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles of weighted values (``value``, ``n``), one row for each group ``by``."""
     wanted = F.array_distinct(
         F.array(
             *[edge(_position(F.col("all_n"), p)).cast("bigint") for p in probs for edge in (F.floor, F.ceil)]
         )
     )
     ranked = levels_at(
-        value_rows(df, value),
+        rows,
         ["n"],
         wanted,
         lambda p, before, own: (p >= before("n")) & (p < before("n") + own("n")),
+        by=by,
     )
-    picked = ranked.select(F.col("all_n").alias("n"), "value", F.explode("hits").alias("k"))
+    picked = ranked.select(*by, F.col("all_n").alias("n"), "value", F.explode("hits").alias("k"))
     at = []
     for i, p in enumerate(probs):
         h = _position(F.col("n"), p)
         at.append(F.max(F.when(F.col("k") == F.floor(h), F.col("value"))).alias(f"_lo{i}"))
         at.append(F.max(F.when(F.col("k") == F.ceil(h), F.col("value"))).alias(f"_hi{i}"))
-    edges = picked.agg(F.max("n").alias("n"), *at)
+    edges = picked.groupBy(*by).agg(F.max("n").alias("n"), *at)
     result = []
     for i, p in enumerate(probs):
         h = _position(F.col("n"), p)
         lo, hi = scale(F.col(f"_lo{i}")), scale(F.col(f"_hi{i}"))
         result.append((lo + (hi - lo) * (h - F.floor(h))).alias(f"q{i}"))
-    return edges.select(*result)
+    return edges.select(*by, *result)
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: count, mean, sample deviation, min, quartiles, max and corrected skewness."""
+    """Per column: count, mean, sample deviation, min, quartiles, max and corrected skewness.
+
+    The table is read twice for any number of columns: once for the measures, once for the counts of
+    the distinct values of all columns, from which all quartiles come.
+    """
     measures = []
     for c in columns:
         measures.append(
@@ -144,31 +161,33 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 sample_skewness(c).alias("skewness"),
             ).alias(f"m_{c}")
         )
-    one_row = df.agg(*measures)
-    rows = []
-    for c in columns:
-        q = quantiles(df, F.col(c), [0.25, 0.5, 0.75]).select(F.struct("q0", "q1", "q2")).scalar()
-        rows.append(F.struct(F.lit(c).alias("field"), F.col(f"m_{c}").alias("m"), q.alias("q")))
-    return one_row.select(F.explode(F.array(*rows)).alias("r")).select(
-        "r.field",
-        "r.m.n",
-        "r.m.mean",
-        "r.m.std",
-        "r.m.min",
-        F.col("r.q.q0").alias("p25"),
-        F.col("r.q.q1").alias("median"),
-        F.col("r.q.q2").alias("p75"),
-        "r.m.max",
-        "r.m.skewness",
+    rows = [F.struct(F.lit(c).alias("field"), F.col(f"m_{c}").alias("m")) for c in columns]
+    measured = df.agg(*measures).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns])))
+    counted = long.select("col.*").filter("value IS NOT NULL").groupBy("field", "value").agg(F.count("*").alias("n"))
+    quartiles = _quantiles(counted, [0.25, 0.5, 0.75], by=["field"])
+    return measured.join(quartiles, "field", "left").select(
+        "field",
+        "m.n",
+        "m.mean",
+        "m.std",
+        "m.min",
+        F.col("q0").alias("p25"),
+        F.col("q1").alias("median"),
+        F.col("q2").alias("p75"),
+        "m.max",
+        "m.skewness",
     )
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50, below: float = 0.99) -> DataFrame:
     """Equal-width bins over the values under a quantile: ``bin`` (1..bins), ``n``."""
-    cap = quantiles(df, F.col(column), [below]).scalar()
-    kept = df.select(dbl(column).alias("x")).filter(F.col("x") < cap)
+    # The table is read for the counts of its distinct values; limit, ends and bins come from those.
+    counted = value_rows(df, F.col(column)).groupBy("value").agg(F.sum("n").alias("n"))
+    cap = _quantiles(counted, [below]).scalar()
+    kept = counted.select(dbl("value").alias("x"), "n").filter(F.col("x") < cap)
     ends = kept.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
     placed = kept.withColumn("s", ends)
     position = F.floor(F.try_divide((F.col("x") - F.col("s.lo")) * F.lit(float(bins)), F.col("s.hi") - F.col("s.lo")))
     number = F.least(F.coalesce(position + 1, F.lit(1)), F.lit(bins)).cast("bigint")
-    return placed.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return placed.groupBy(number.alias("bin")).agg(F.sum("n").alias("n"))
