@@ -6,7 +6,8 @@ always kept. The SimHash has 64 bits; each word votes by its hash (once per occu
 
 Equal normal forms are one row from the start, however often they occur. Fingerprints that differ in ``RADIUS``
 bits or fewer agree in two of ``BLOCKS`` blocks at least, so each pair of blocks is a join key and no such pair is
-missed. Pairs are verified by the edit distance of the normal forms: similar if it is at most 1 - ``SIMILARITY``
+missed. Lines are compared with the first line of each block first, then with all lines of their blocks that this
+has not brought into the same group: the groups are the same, without all pairs of a large group. Pairs are verified by the edit distance of the normal forms: similar if it is at most 1 - ``SIMILARITY``
 of the longer one's length. Groups are connected components; of each group the occurrence with the smallest
 (document, line) is kept and the others go.
 
@@ -26,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise.llm.common import components, parts_of, saved, table
@@ -110,25 +111,49 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def near_lines(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b) of keys of different lines (key, fp) whose fingerprints differ in radius bits or fewer.
-
-    radius: BLOCKS - 2 at most.
-    """
-    block = [
-        F.shiftrightunsigned("fp", _BOUNDS[b]).bitwiseAND(F.lit((1 << (_BOUNDS[b + 1] - _BOUNDS[b])) - 1)) for b in range(BLOCKS)
+def _blocks(distinct: DataFrame) -> DataFrame:
+    """(block, key, fp): a row per line and pair of blocks, for blocks that several lines have."""
+    part = [
+        F.shiftrightunsigned("fp", _BOUNDS[b]).bitwiseAND(F.lit((1 << (_BOUNDS[b + 1] - _BOUNDS[b])) - 1))
+        for b in range(BLOCKS)
     ]
-    tables = F.array(
+    pairs = F.array(
         *[
-            F.lit(t << 32).cast("long").bitwiseOR(F.shiftleft(block[a], 13)).bitwiseOR(block[b])
+            F.lit(t << 32).cast("long").bitwiseOR(F.shiftleft(part[a], 13)).bitwiseOR(part[b])
             for t, (a, b) in enumerate(combinations(range(BLOCKS), 2))
         ]
     )
-    rows = distinct.select("key", "fp", F.explode(tables).alias("block"))
-    one, two = rows.toDF("a", "a_fp", "block"), rows.toDF("b", "b_fp", "other")
-    differing = F.bit_count(F.col("a_fp").bitwiseXOR(F.col("b_fp")))
-    met = one.join(two, (one.block == two.other) & (one.a < two.b) & (differing <= radius))
-    return met.select("a", "b").distinct()
+    rows = distinct.select(F.explode(pairs).alias("block"), "key", "fp")
+    shared = rows.groupBy("block").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+    return rows.join(shared.select("block"), "block", "left_semi")
+
+
+def _differing() -> Column:
+    return F.bit_count(F.col("a_fp").bitwiseXOR(F.col("b_fp")))
+
+
+def near_keys(blocks: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Keys of lines that another line's fingerprint is near to. radius: BLOCKS - 2 at most."""
+    one, two = blocks.toDF("block", "a", "a_fp"), blocks.toDF("other", "b", "b_fp")
+    met = (F.col("block") == F.col("other")) & (F.col("a") != F.col("b")) & (_differing() <= radius)
+    return one.join(two, met, "left_semi").select(F.col("a").alias("key")).distinct()
+
+
+def _first_pairs(blocks: DataFrame, radius: int) -> DataFrame:
+    """(a, b): near lines of which a is the first line of a block."""
+    first = blocks.groupBy("block").agg(F.min(F.struct("key", "fp")).alias("f"))
+    first = first.select("block", F.col("f.key").alias("a"), F.col("f.fp").alias("a_fp"))
+    met = blocks.toDF("block", "b", "b_fp").join(first, "block")
+    return met.where((F.col("a") != F.col("b")) & (_differing() <= radius)).select("a", "b").distinct()
+
+
+def _other_pairs(blocks: DataFrame, labels: DataFrame, radius: int) -> DataFrame:
+    """(a, b): near lines that have different labels (node, component; without one: their own)."""
+    marked = blocks.join(labels, F.col("key") == F.col("node"), "left")
+    marked = saved(marked.select("block", "key", "fp", F.coalesce("component", "key").alias("label")), "line-labels")
+    one, two = marked.toDF("block", "a", "a_fp", "a_label"), marked.toDF("other", "b", "b_fp", "b_label")
+    met = (F.col("block") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
+    return one.join(two, met & (_differing() <= radius)).select("a", "b").distinct()
 
 
 def _forms(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -160,16 +185,22 @@ def line_groups(docs: DataFrame, lines: DataFrame, radius: int = RADIUS, similar
         F.min("fp").alias("fp"), F.count("*").alias("n"), F.min(place).alias("first")
     )
     distinct = saved(distinct, "distinct-lines")
-    pairs = saved(near_lines(distinct, radius), "line-pairs")
-    ends = pairs.select("a").union(pairs.select("b")).distinct().toDF("key")
-    wanted = distinct.join(ends, "key", "left_semi").select("key", "first.doc_id", "first.text_hash", "first.line")
-    forms = saved(_forms(docs, wanted), "line-forms")
-    both = pairs.join(forms.toDF("a", "x"), "a").join(forms.toDF("b", "y"), "b")
-    longer = F.greatest(F.length("x"), F.length("y"))
-    most = F.floor(longer * (1 - similarity) + 1e-9)
-    # Lengths first: they bound the distance from below.
-    near = (F.abs(F.length("x") - F.length("y")) <= most) & (F.levenshtein("x", "y") <= most)
-    found = components(both.where(near).select("a", "b"))
+    blocks = saved(_blocks(distinct), "line-blocks")
+    wanted = distinct.join(near_keys(blocks, radius), "key", "left_semi")
+    forms = saved(_forms(docs, wanted.select("key", "first.doc_id", "first.text_hash", "first.line")), "line-forms")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(forms.toDF("a", "x"), "a").join(forms.toDF("b", "y"), "b")
+        most = F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - similarity) + 1e-9)
+        # Lengths first: they bound the distance from below.
+        near = (F.abs(F.length("x") - F.length("y")) <= most) & (F.levenshtein("x", "y") <= most)
+        return saved(both.where(near).select("a", "b"), "line-links")
+
+    # Most links of a large group of near lines say nothing new: first each line with the first one of its blocks,
+    # then only pairs that this hasn't brought together. The groups are those of all links.
+    links = similar(_first_pairs(blocks, radius))
+    more = similar(_other_pairs(blocks, components(links), radius))
+    found = components(links.union(more))
     linked = distinct.join(found.withColumnRenamed("node", "key"), "key", "left")
     linked = linked.select("key", "n", "first", F.coalesce("component", "key").alias("group"))
     kept = linked.groupBy("group").agg(F.min("first").alias("kept"), F.sum("n").alias("size"))
