@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
-from stallwise.llm.common import components, fresh, saved, table
+from stallwise.llm.common import components, dropped, fresh, parts_of, saved, table
 from stallwise.llm.hashing import mixed, powers, shingles, word_hashes
 
 SHINGLE = 5
@@ -88,7 +88,7 @@ def paragraphs_of(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     names = ["key", "content", "first", "stop", "start", "next", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             found = [_paragraphs(t.as_py() or "", window) for t in batch.column(2)]
             take = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
             columns = [pa.array(np.concatenate([f[k] for f in found])) for k in range(7)] if found else []
@@ -131,11 +131,12 @@ def _similar(similarity: float):
 def repeats(docs: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
     """(row, doc_id, key, content, first, stop, start, next, end, group, kept): paragraphs of groups that two
     documents hold. kept: (no_id, doc_id, row, first) of the occurrence that stays."""
-    shared = paragraphs_of(docs, window).groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    every = saved(paragraphs_of(docs, window), "all-paragraphs")
+    shared = every.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high"))
     shared = shared.where("low <> high").select(F.col("key").alias("shared"))
-    found = paragraphs_of(docs, window)
-    found = found.join(shared, found.key == shared.shared, "left_semi").withColumn("variant", F.xxhash64("key", "content"))
+    found = every.join(shared, every.key == shared.shared, "left_semi").withColumn("variant", F.xxhash64("key", "content"))
     found = saved(found, "paragraphs")
+    dropped(every)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "first")
     variants = saved(
         found.groupBy("key", "variant").agg(
