@@ -192,8 +192,9 @@ def line_groups(docs: DataFrame, lines: DataFrame, radius: int = RADIUS, similar
     def similar(pairs: DataFrame) -> DataFrame:
         both = pairs.join(forms.toDF("a", "x"), "a").join(forms.toDF("b", "y"), "b")
         most = F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - similarity) + 1e-9)
-        # Lengths first: they bound the distance from below.
-        near = (F.abs(F.length("x") - F.length("y")) <= most) & (F.levenshtein("x", "y") <= most)
+        # Lengths first: they bound the distance from below. With a limit, only the band around it is filled in.
+        within = F.call_function("levenshtein", F.col("x"), F.col("y"), most.cast("int")) >= 0
+        near = (F.abs(F.length("x") - F.length("y")) <= most) & within
         return saved(both.where(near).select("a", "b"), "line-links")
 
     # Most links of a large group of near lines say nothing new: first each line with the first one of its blocks,
