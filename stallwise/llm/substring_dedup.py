@@ -12,7 +12,7 @@ edits are caught by the paragraphs between the edits, and by those whose inner w
 
 1. Keys that two documents have are counted out; all other paragraphs are unique and go no further.
 2. Paragraphs with the same key and the same words are one variant, however many documents hold it. Variants with
-   the same key are compared pairwise by edit distance (similarity ``SIMILARITY`` or more), on their text.
+   the same key are compared by edit distance (similarity ``SIMILARITY`` or more), on their text.
 3. Groups are connected components of variants. The smallest (document, place) of a group keeps it.
 4. In each document, overlapping repeated paragraphs form runs. Runs of fewer than ``LEAST_WORDS`` words are left
    alone; of the others, what is kept elsewhere is marked as removed.
@@ -128,12 +128,33 @@ def _similar(similarity: float):
     return (F.abs(F.length("x") - F.length("y")) <= most) & (F.levenshtein("x", "y") <= most)
 
 
+def _linked(texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, component) of variants (key, variant, words) that are similar to another one of their key.
+
+    Each variant is compared with the first one of its key, then with all of its key that this has not brought into
+    the same group: the groups are those of all similar pairs, without all pairs of a large group.
+    """
+    first = texts.groupBy("key").agg(F.min("variant").alias("variant")).join(texts, ["key", "variant"])
+    near = first.toDF("key_a", "a", "x").join(
+        texts.toDF("key_b", "b", "y"), (F.col("key_a") == F.col("key_b")) & (F.col("a") != F.col("b")) & _similar(similarity)
+    )
+    links = saved(near.select("a", "b"), "variant-links")
+    labels = components(links)
+    marked = texts.join(labels, F.col("variant") == F.col("node"), "left")
+    marked = saved(marked.select("key", "variant", "words", F.coalesce("component", "variant").alias("label")), "variant-labels")
+    one, two = marked.toDF("key_a", "a", "x", "label_a"), marked.toDF("key_b", "b", "y", "label_b")
+    apart = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+    more = one.join(two, (F.col("key_a") == F.col("key_b")) & apart & _similar(similarity))
+    return components(links.union(more.select("a", "b")))
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
     """(row, doc_id, key, content, first, stop, start, next, end, group, kept): paragraphs of groups that two
     documents hold. kept: (no_id, doc_id, row, first) of the occurrence that stays."""
     every = saved(paragraphs_of(docs, window), "all-paragraphs")
     shared = every.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high"))
-    shared = shared.where("low <> high").select(F.col("key").alias("shared"))
+    # Written, so that the join has plain shuffles below, which Spark may split at a hot key.
+    shared = saved(shared.where("low <> high").select(F.col("key").alias("shared")), "shared-keys")
     found = every.join(shared, every.key == shared.shared, "left_semi").withColumn("variant", F.xxhash64("key", "content"))
     found = saved(found, "paragraphs")
     dropped(every)
@@ -151,9 +172,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, similarity: float = SIMILARIT
     several = saved(variants.join(several, "key", "left_semi").select("key", "variant", "at"), "several")
     texts = _texts(docs, several.select("variant", "at.*"))
     texts = saved(several.select("key", "variant").join(texts, "variant"), "variant-texts")
-    one, two = texts.toDF("a", "key_a", "x"), texts.toDF("b", "key_b", "y")
-    pairs = one.join(two, (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & _similar(similarity))
-    linked = components(pairs.select("a", "b")).withColumnRenamed("node", "variant")
+    linked = _linked(texts.select("key", "variant", "words"), similarity).withColumnRenamed("node", "variant")
     grouped = variants.join(linked, "variant", "left").withColumn("group", F.coalesce("component", "variant"))
     groups = grouped.groupBy("group").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("kept").alias("kept"))
     groups = groups.where("low <> high").select("group", "kept")
