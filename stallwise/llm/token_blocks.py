@@ -18,9 +18,9 @@ File format: Parquet with a row per block. A block is whole documents, about 64
 Rows are dealt by ranges of the document id, so a shard is one task's range whatever the source of its rows;
 only the shards' totals (one row per partition) are summed up in one place.
 
-Encoding: byte-level BPE splits at white space first, and always before a space that a non-space follows. So texts
-are cut there, and each distinct piece goes through the tokenizer once; the memory of pieces is emptied when
-large, which changes no result. Tokenizers of any other kind encode whole texts.
+Encoding: byte-level BPE splits texts before it merges, always before a space that a non-space follows. So texts
+are cut there, and of some million characters at a time each distinct piece goes through the tokenizer once.
+Tokenizers of any other kind encode whole texts.
 
 Null texts count as empty and hold the end id only. Repeated rows and ids stay, by text; null ids come first. An
 empty table gives no blocks.
@@ -30,12 +30,15 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
-from itertools import groupby
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +51,15 @@ BLOCK_IDS = 1 << 16
 #: Ids in a word and bits of each, by selector; selector 0 is the escape.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.int64)
 BITS = (60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
-#: Pieces remembered at most, characters of a text cut at a time, and characters encoded together.
-_PIECES = 400_000
+#: Characters of a text cut at a time, and characters encoded together.
 _STRETCH = 1 << 20
-_TOGETHER = 1 << 22
+_TOGETHER = 1 << 23
+#: Where a Python worker keeps its tokenizer between tasks.
+_KEPT = "stallwise_worker_tokenizer"
 _CUT = re.compile(r" (?=\S)")
 _GLUED = re.compile(r" (?!\S)")
+#: A word of Latin letters and what follows it: the tokenizer splits there, too.
+_TAIL = r"(?s)^(?P<word>[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<tail>[!-@\[-`{-~].*)$"
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,80 +116,100 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
-class _Pieces(dict):
-    """Numbers pieces as they come up; ``new`` has those without ids yet."""
+def _gathered(ids: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of ids that lie end to end, those with the given numbers, end to end, and their lengths."""
+    many = lengths[numbers]
+    ends = np.cumsum(many)
+    total = int(ends[-1]) if len(ends) else 0
+    starts = (np.cumsum(lengths) - lengths)[numbers]
+    return ids[np.repeat(starts - ends + many, many) + np.arange(total)], many
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
 
-    def __missing__(self, piece: str) -> int:
-        self[piece] = at = len(self)
-        self.new.append(piece)
-        return at
+@dataclass(frozen=True)
+class Definition:
+    """A tokenizer as tasks get it: its JSON, whether texts may be cut into pieces, and the ids that begin with a space."""
+
+    json: str
+    by_pieces: bool
+    spaced: np.ndarray
+
+
+def defined(tokenizer: str) -> Definition:
+    spec = json.loads(tokenizer)
+    before = spec.get("pre_tokenizer") or {}
+    by_pieces = (
+        before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space")
+        and not spec.get("normalizer")
+        and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+    )
+    vocabulary = spec["model"].get("vocab") if by_pieces else {}
+    spaced = np.zeros(max([0, *vocabulary.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, dtype=bool)
+    spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+    return Definition(tokenizer, by_pieces, spaced)
 
 
 class Encoder:
     """Ids of whole texts, as the tokenizer gives them without special tokens."""
 
-    def __init__(self, tokenizer: str) -> None:
+    def __init__(self, definition: Definition) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.tokenizer = Tokenizer.from_str(definition.json)
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
-        spec = json.loads(tokenizer)
-        before = spec.get("pre_tokenizer") or {}
-        self.by_pieces = (
-            before.get("type") == "ByteLevel"
-            and before.get("use_regex", True)
-            and not before.get("add_prefix_space")
-            and not spec.get("normalizer")
-            and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
-        )
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.pieces, self.used, self.known = _Pieces(), 0, 0
-        self.ids = np.empty(1 << 16, dtype=np.uint32)
-        self.start, self.length = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
+        self.by_pieces, self.spaced = definition.by_pieces, definition.spaced
+
+    @classmethod
+    def of_worker(cls, definition: Definition) -> Encoder:
+        """One tokenizer for all tasks that a Python worker runs: reading its vocabulary takes time and memory."""
+        kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT))
+        key = zlib.crc32(definition.json.encode()), len(definition.json)
+        if getattr(kept, "key", None) != key:
+            kept.key, kept.tokenizer = key, cls(definition).tokenizer
+        out = cls.__new__(cls)
+        out.tokenizer, out.by_pieces, out.spaced = kept.tokenizer, definition.by_pieces, definition.spaced
+        return out
 
     def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-
-    def _learn(self) -> None:
-        """Ids of the new pieces: those without a space inside together, as each begins with its only space."""
-        new, self.pieces.new = self.pieces.new, []
-        for inside, some in groupby(new, key=lambda p: " " in p):
-            some = list(some)
-            for at in range(0, len(some), 1 << 15):
-                part = some[at : at + (1 << 15)]
-                ids = self._plain(" " + " ".join(part)) if not inside else np.empty(0, dtype=np.uint32)
-                starts = np.flatnonzero(self.spaced[ids])
-                if len(starts) == len(part):
-                    self._add(ids, np.diff(np.append(starts, len(ids))))
-                else:
-                    for ids in (self._plain(f" {p}") for p in part):
-                        self._add(ids, np.array([len(ids)]))
-
-    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while self.known + len(lengths) > len(self.start):
-            self.start = np.concatenate([self.start, np.empty_like(self.start)])
-            self.length = np.concatenate([self.length, np.empty_like(self.length)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        to = slice(self.known, self.known + len(lengths))
-        self.start[to] = self.used + np.cumsum(lengths) - lengths
-        self.length[to] = lengths
-        self.used += len(ids)
-        self.known += len(lengths)
-
-    def _numbers(self, text: str) -> tuple[str, list[np.ndarray]]:
-        """The beginning of the text up to the first cut, and the numbers of its other pieces."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _of_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, each after a space, end to end, and the number of each one's."""
+        cut = pc.extract_regex(pieces, _TAIL)
+        words = pc.coalesce(pc.struct_field(cut, "word"), pieces).dictionary_encode()
+        tails = pc.fill_null(pc.struct_field(cut, "tail"), "").dictionary_encode()
+        ids, lengths = self._joined(words.dictionary.to_pylist())
+        # A tail is clear of the word before it: behind a word of one id, its ids are all but the first.
+        more, counts = self._joined([f"a{t}" for t in tails.dictionary.to_pylist()])
+        more = np.delete(more, np.cumsum(counts) - counts)
+        both = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(lengths)], axis=1).ravel()
+        found, sizes = _gathered(np.concatenate([ids, more]), np.concatenate([lengths, counts - 1]), both)
+        return found, sizes[::2] + sizes[1::2]
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_of_pieces``, without cutting.
+
+        Many go through the tokenizer together: in pieces without another space, a token with a space is the first.
+        """
+        ids, lengths = [], []
+        for at in range(0, len(pieces), 1 << 12):
+            some = pieces[at : at + (1 << 12)]
+            joined = " ".join(some)
+            got = self._plain(f" {joined}")
+            starts = np.flatnonzero(self.spaced[got])
+            if joined.count(" ") == len(some) - 1 == len(starts) - 1:
+                ids.append(got)
+                lengths.append(np.diff(np.append(starts, len(got))))
+            else:
+                each = [self._plain(f" {p}") for p in some]
+                ids += each
+                lengths.append(np.array([len(x) for x in each]))
+        return (np.concatenate(ids), np.concatenate(lengths)) if ids else (np.empty(0, np.uint32), np.empty(0, np.int64))
+
+    def _cut(self, text: str) -> tuple[str, list[str]]:
+        """The beginning of the text up to the first cut, and its other pieces, without their spaces."""
         head, at, out = None, 0, []
         while at <= len(text):
             end = _CUT.search(text, at + _STRETCH) if len(text) - at > _STRETCH else None
@@ -192,24 +218,36 @@ class Encoder:
             parts = _CUT.split(stretch) if _GLUED.search(stretch) else stretch.split(" ")
             if head is None:
                 head = parts.pop(0)
-            out.append(np.array(list(map(self.pieces.__getitem__, parts)), dtype=np.int64))
+            out += parts
         return head, out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
             return [self._plain(t) for t in texts]
-        if len(self.pieces) > _PIECES:
-            self._forget()
-        numbered = [self._numbers(t) for t in texts]
-        self._learn()
-        out = []
-        for head, numbers in numbered:
-            at = np.concatenate(numbers)
-            lengths = self.length[at]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            places = np.repeat(self.start[at] - ends + lengths, lengths) + np.arange(total)
-            out.append(np.concatenate([self._plain(head), self.ids[places]]) if head else self.ids[places])
+        # Texts whose every space is a cut are split together, the others one by one.
+        glued = [bool(_GLUED.search(t)) for t in texts]
+        split = pc.split_pattern(pa.array([None if g else t for t, g in zip(texts, glued, strict=True)], pa.string()), " ")
+        ends = split.offsets.to_numpy()
+        heads = [split.values[a].as_py() if b > a else "" for a, b in zip(ends, ends[1:], strict=False)]
+        counts = np.maximum(np.diff(ends) - 1, 0)
+        inner = np.ones(len(split.values), dtype=bool)
+        inner[ends[:-1][np.diff(ends) > 0]] = False
+        parts = [split.values.filter(pa.array(inner))]
+        odd = []
+        for i, text in enumerate(texts):
+            if glued[i]:
+                heads[i], pieces = self._cut(text)
+                odd.append((i, len(pieces)))
+                parts.append(pa.array(pieces, pa.string()))
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        # Ids of all pieces in order: those of the texts split together, then those of the others.
+        found, many = _gathered(*self._of_pieces(coded.dictionary), coded.indices.to_numpy())
+        order = np.concatenate([np.flatnonzero(~np.array(glued)), [i for i, _ in odd]]).astype(np.int64)
+        sizes = np.concatenate([counts[~np.array(glued)], [n for _, n in odd]]).astype(np.int64)
+        bounds = np.cumsum(np.append(0, many))[np.cumsum(np.append(0, sizes))]
+        out: list = [None] * len(texts)
+        for i, a, b in zip(order.tolist(), bounds, bounds[1:], strict=False):
+            out[i] = np.concatenate([self._plain(heads[i]), found[a:b]]) if heads[i] else found[a:b]
         return out
 
 
@@ -233,10 +271,11 @@ def blocks_of(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID, bloc
         f"shard int, block int, first long, n_ids long, words binary, escapes binary, "
         f"doc_ids array<{kind}>, offsets array<long>"
     )
+    definition = defined(tokenizer)
     end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, shard = Encoder.of_worker(definition), TaskContext.get().partitionId()
         block = first = 0
         names: list = []
         held: list[np.ndarray] = []
@@ -262,6 +301,7 @@ def blocks_of(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID, bloc
             id_type = batch.column(0).type
             pairs = ((i.as_py(), t.as_py() or "") for i, t in zip(batch.column(0), batch.column(1), strict=True))
             for some in _together(pairs):
+                pa.default_memory_pool().release_unused()
                 for (doc_id, _), ids in zip(some, encoder.encode([t for _, t in some]), strict=True):
                     names.append(doc_id)
                     held.append(np.concatenate([ids, end]))

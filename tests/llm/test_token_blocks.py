@@ -46,7 +46,7 @@ def test_pieces_equal_the_tokenizer(plain, monkeypatch):
     rnd = random.Random(3)
     bits = [" ", "  ", "\n", "\t", "ab", "Cd's", "12", "…", "é", "'", " ", "🙂", "the", "<|endoftext|>", "Ġ", "\x1f"]
     texts = TEXTS + ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 200))) for _ in range(400)]
-    encoder = tb.Encoder(tb.tokenizer_json())
+    encoder = tb.Encoder(tb.defined(tb.tokenizer_json()))
     assert encoder.by_pieces
     for at in range(0, len(texts), 37):
         some = texts[at : at + 37]
@@ -56,7 +56,7 @@ def test_pieces_equal_the_tokenizer(plain, monkeypatch):
 
 
 def test_whole_texts_with_another_tokenizer():
-    encoder = tb.Encoder(tb.tokenizer_json("word_bpe_49k.json"))
+    encoder = tb.Encoder(tb.defined(tb.tokenizer_json("word_bpe_49k.json")))
     assert not encoder.by_pieces
     assert encoder.encode(["A  b"])[0].tolist() == encoder._plain("A  b").tolist()
 
