@@ -127,7 +127,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, d
         F.coalesce("component", "fp").alias("root"),
         F.coalesce("lowest", "first").alias("component_id"),
     )
-    return fps.join(groups, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    # Written, so that this join has plain shuffles below, which Spark may split at a hot fingerprint.
+    return fps.join(saved(groups, "near-groups"), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, distinct: bool = False) -> DataFrame:
