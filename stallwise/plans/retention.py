@@ -81,13 +81,16 @@ def late_repurchase_test(star: Star) -> DataFrame:
 
 
 SERIES_TERMS = 120
+#: The chance of a larger chi-square is below 2e-12 from here on.
+NO_CHANCE = 50.0
 
 
 def upper_tail(chi2: Column) -> Column:
-    """Chance of a larger chi-square with one degree of freedom, to ten digits or so, for values up to 100.
+    """Chance of a larger chi-square with one degree of freedom, to ten digits or so; 0 above ``NO_CHANCE``.
 
     It is 1 - erf(z) with z = sqrt(chi2 / 2), and erf(z) = 2 z exp(-z^2) / sqrt(pi) times the sum of
     (2 z^2)^n / (1 * 3 * ... * (2n + 1)), whose terms are all positive; the sum is folded from its last term.
+    Its terms suffice up to ``NO_CHANCE``.
     """
     folded = F.aggregate(
         F.sequence(F.lit(SERIES_TERMS), F.lit(1)),
@@ -95,7 +98,7 @@ def upper_tail(chi2: Column) -> Column:
         lambda rest, n: F.lit(1.0) + chi2 / (F.lit(2) * n + F.lit(1)) * rest,
     )
     erf = F.lit(2.0) * F.sqrt(chi2 / F.lit(2.0)) * F.exp(-chi2 / F.lit(2.0)) / F.sqrt(F.pi()) * folded
-    return F.greatest(F.lit(1.0) - erf, F.lit(0.0))
+    return F.when(chi2 > NO_CHANCE, F.lit(0.0)).otherwise(F.greatest(F.lit(1.0) - erf, F.lit(0.0)))
 
 
 def late_repurchase_significance(star: Star) -> DataFrame:

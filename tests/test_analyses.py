@@ -77,6 +77,12 @@ def test_upper_tail_is_the_error_function(spark):
         assert row.p == pytest.approx(math.erfc(math.sqrt(row.x / 2)), abs=1e-10)
 
 
+def test_upper_tail_of_large_values(spark):
+    df = spark.createDataFrame([(x,) for x in (49.9, 50.0, 50.1, 99.0, 180.0, 200.0, 500.0, 5000.0, 1e9)], "x double")
+    for row in df.select("x", retention.upper_tail(df.x).alias("p")).collect():
+        assert row.p == pytest.approx(math.erfc(math.sqrt(row.x / 2)), abs=1e-10)
+
+
 def test_month_distance_counts_boundaries(spark):
     df = spark.sql("SELECT DATE'2018-01-31' AS a, DATE'2018-02-01' AS b")
     assert df.select(months_between_boundaries(df.a, df.b)).first()[0] == 1
