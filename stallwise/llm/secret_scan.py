@@ -60,7 +60,18 @@ _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#(\d{1,7});|&#[xX]([0-9A-Fa-f]{1,6});"
 )
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+#: Ten bytes at least: the shortest packed form of a secret (32 equal hex digits); plain ones have 14 or more.
+LEAST_RUN = 14
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{14,}")
+#: A run over line breaks: what stands at a line's end, whole lines, and what stands at a line's start.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+(?:[\x20\t]*\r?\n[\x20\t>]*[A-Za-z0-9+/_-]+)+")
+_CHARACTERS = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Printable UTF-8 among other bytes.
+_PRINTED = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){10,}"
+)
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 Span = tuple[str, int, int]
@@ -143,32 +154,55 @@ class _TooLarge(Exception):
     pass
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Data decompressed once; None if it isn't compressed."""
-    try:
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and data[1:2] in b"\x01\x5e\x9c\xda"):
-            reader = zlib.decompressobj(wbits=47)
-            out = reader.decompress(data, LARGEST)
-            more = bool(reader.unconsumed_tail)
-        elif data[:3] == b"BZh":
-            reader = bz2.BZ2Decompressor()
-            out = reader.decompress(data, LARGEST)
-            more = not reader.eof and not reader.needs_input
-        elif data[:6] == b"\xfd7zXZ\x00":
-            reader = lzma.LZMADecompressor(memlimit=LARGEST)
-            out = reader.decompress(data, LARGEST)
-            more = not reader.eof and not reader.needs_input
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=LARGEST).stream_reader(data) as reader:
-                out = reader.read(LARGEST)
-                more = bool(reader.read(1))
-        else:
-            return None
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
+def _member(data: bytes, most: int) -> tuple[bytes, bytes, bool] | None:
+    """The first member of compressed data unpacked, what follows it, and whether there is more than ``most`` bytes of
+    it; None if the data isn't compressed."""
+    if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and data[1:2] in b"\x01\x5e\x9c\xda"):
+        reader = zlib.decompressobj(wbits=47)
+        out = reader.decompress(data, most)
+        return out, reader.unused_data, bool(reader.unconsumed_tail)
+    if data[:3] == b"BZh":
+        reader = bz2.BZ2Decompressor()
+    elif data[:6] == b"\xfd7zXZ\x00":
+        reader = lzma.LZMADecompressor(memlimit=LARGEST)
+    elif data[:4] == b"\x28\xb5\x2f\xfd":
+        reader = zstandard.ZstdDecompressor(max_window_size=LARGEST)
+        with reader.stream_reader(data, read_across_frames=False) as stream:
+            out = stream.read(most)
+            # At a frame's end the next read would begin the following one.
+            more = len(out) == most and bool(stream.read(1))
+        if more:
+            return out, b"", True
+        # The reader doesn't say where the frame ends.
+        frame = zstandard.ZstdDecompressor(max_window_size=LARGEST).decompressobj()
+        frame.decompress(data)
+        return out, frame.unused_data, False
+    else:
         return None
-    if more:
-        raise _TooLarge
-    return out
+    out = reader.decompress(data, most)
+    return out, reader.unused_data if reader.eof else b"", not reader.eof and not reader.needs_input
+
+
+_BROKEN = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+
+
+def _unpacked(data: bytes) -> bytes | None:
+    """Data decompressed once, all its members; None if it isn't compressed. What follows the last one is left."""
+    out, size = [], 0
+    while True:
+        try:
+            # One byte at least: zero would mean no limit.
+            found_ = _member(data, max(LARGEST - size, 1))
+        except _BROKEN:
+            found_ = None
+        if found_ is None:
+            return b"".join(out) if out else None
+        new, data, more = found_
+        out.append(new)
+        size += len(new)
+        if more or size > LARGEST:
+            raise _TooLarge
+        data = data.lstrip(b"\0")
 
 
 def _text_of(data: bytes) -> str | None:
@@ -181,34 +215,80 @@ def _text_of(data: bytes) -> str | None:
     return text if text and printable >= 0.95 * len(text) else None
 
 
-def _from_base64(layer: Layer, a: int, b: int) -> tuple[Layer | None, bool]:
-    """The text that a run of base64 characters holds, and whether it was too large."""
-    for shift in range(min(4, b - a)):
-        run = layer.text[a + shift : b].translate(_URL_SAFE)
+def _innermost(data: bytes) -> tuple[bytes, bool]:
+    """Data decompressed as often as it was compressed, and whether it was."""
+    packed = False
+    while (inner := _unpacked(data)) is not None:
+        data, packed = inner, True
+    return data, packed
+
+
+def _from_base64(layer: Layer, places: np.ndarray) -> tuple[list[Layer], list[tuple[int, int]]]:
+    """The texts that the base64 characters at the given places of the layer hold, and the spans that are too large.
+
+    A run that isn't one text may hold some: between other bytes, as when a word, path or name stands before or
+    after it. Every phase of the characters is searched for printable stretches and for compressed data.
+    """
+    start, end = layer.places()
+    start, end = start[places], end[places]
+    characters = "".join(map(layer.text.__getitem__, places)) if len(places) != places[-1] + 1 - places[0] else (
+        layer.text[places[0] : places[-1] + 1]
+    )
+    characters = characters.translate(_URL_SAFE)
+
+    def plain(text: str, shift: int, at: int) -> Layer:
+        sizes = np.array([len(c.encode("utf-8")) for c in text])
+        stop = np.cumsum(sizes) + at
+        first = shift + (stop - sizes) * 8 // 6
+        last = shift + (stop * 8 + 5) // 6 - 1
+        return Layer(text, start[first], end[last])
+
+    def packed_text(text: str, first: int) -> Layer:
+        return Layer(text, np.full(len(text), start[first:].min()), np.full(len(text), end[first:].max()))
+
+    phases = []
+    for shift in range(min(4, len(characters))):
+        run = characters[shift:]
         run = run[: len(run) - (len(run) % 4 == 1)]
         try:
             data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        packed = False
+        phases.append((shift, data))
         try:
-            while (inner := _unpacked(data)) is not None:
-                data, packed = inner, True
+            inner, packed = _innermost(data)
         except _TooLarge:
-            return None, True
-        text = _text_of(data)
-        if text is None:
-            continue
-        start, end = layer.places()
-        if packed:
-            low, high = layer.spans(a + shift, b)
-            return Layer(text, np.full(len(text), low), np.full(len(text), high)), False
-        sizes = np.array([len(c.encode("utf-8")) for c in text])
-        stop = np.cumsum(sizes)
-        first = a + shift + (stop - sizes) * 8 // 6
-        last = a + shift + (stop * 8 + 5) // 6 - 1
-        return Layer(text, start[first], end[last]), False
-    return None, False
+            return [], [(int(start[shift:].min()), int(end[shift:].max()))]
+        text = _text_of(inner)
+        if text is not None:
+            return [packed_text(text, shift) if packed else plain(text, shift, 0)], []
+    out, large = [], []
+    for shift, data in phases:
+        out += [plain(m[0].decode("utf-8"), shift, m.start()) for m in _PRINTED.finditer(data)]
+        at = 0
+        while m := _MAGIC.search(data, at):
+            at = m.start() + 1
+            first = shift + m.start() * 8 // 6
+            try:
+                inner, packed = _innermost(data[m.start() :])
+            except _TooLarge:
+                large.append((int(start[first:].min()), int(end[first:].max())))
+                break
+            if packed:
+                text = _text_of(inner)
+                texts = [text] if text is not None else [x[0].decode("utf-8") for x in _PRINTED.finditer(inner)]
+                out += [packed_text(t, first) for t in texts]
+    return out, large
+
+
+def _runs(text: str) -> Iterator[np.ndarray]:
+    """Places of the characters of every run of base64 characters: on a line, and over line breaks."""
+    for m in _BASE64.finditer(text):
+        yield np.arange(*m.span())
+    for m in _WRAPPED.finditer(text) if "\n" in text else ():
+        places = np.concatenate([np.arange(*x.span()) for x in _CHARACTERS.finditer(text, *m.span())])
+        if len(places) >= LEAST_RUN:
+            yield places
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
@@ -222,11 +302,10 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
             inner.append(_replaced(layer, _URL, _url))
         if "\\" in layer.text or "&#" in layer.text:
             inner.append(_replaced(layer, _UNICODE, _unicode))
-        for m in _BASE64.finditer(layer.text):
-            decoded, too_large = _from_base64(layer, *m.span())
-            inner.append(decoded)
-            if too_large:
-                spans.add((PACKED, *layer.spans(*m.span())))
+        for places in _runs(layer.text):
+            decoded, large = _from_base64(layer, places)
+            inner += decoded
+            spans |= {(PACKED, *span) for span in large}
         for new in inner:
             if new is None or not new.text:
                 continue

@@ -3,6 +3,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -104,3 +105,24 @@ def test_odd_rows(spark):
     out = docs.select("doc_id", ss.scanned(F.col("text")).alias("s")).collect()
     assert [r.s.n_assign for r in out] == [0, 0, 0, 1]
     assert docs.limit(0).select(ss.scanned(F.col("text"))).count() == 0
+
+
+def test_wrapped_glued_short_and_joined_runs():
+    rnd = random.Random(5)
+    key = "password=Hunter2Hunter2"
+    noise = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz \n") for _ in range(4000))
+    wrap = lambda data, n: "\n".join(base64.b64encode(data).decode()[k : k + n] for k in range(0, len(data) * 4 // 3 + 4, n))
+    kinds = lambda text: {k for k, _, _ in ss.scan(text)[1]}
+    for n in (64, 76):
+        assert kinds("x:\n" + wrap(gzip.compress(f"{noise} {key}".encode()), n) + "\nEnd of it") == {"assign"}
+    plain = wrap(f"é {noise[:45]} {key} ü".encode(), 76)
+    ((_, a, b),) = {s for s in ss.scan(f"Data\n\n{plain}\n")[1]}
+    assert 6 < a < 6 + 76 < b <= 6 + len(plain)
+    for glued in ("data/", "my_", "a-b/c_", "abc"):
+        assert kinds(glued + base64.b64encode(key.encode()).decode()) == {"assign"}
+        assert kinds(glued + base64.b64encode(zlib.compress(key.encode())).decode() + "/x") == {"assign"}
+    short = base64.b64encode(b"token=12345678").decode()
+    assert ss.scan(f"a {short} b")[1] == [("assign", 2, 21)]
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        members = pack(b"first member, nothing in it ") + pack(key.encode())
+        assert kinds(base64.b64encode(members).decode()) == {"assign"}, pack
