@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stallwise.llm import (
     decontamination,
+    hard_negatives,
     language_id,
     lexical_scan,
     line_dedup,
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_simhash_near_dedup": simhash_near.op9_simhash_near_dedup,
     "op10_source_mix": source_mix.op10_source_mix,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op13_lexical_search": lexical_scan.op13_lexical_search,
 }
 
 ORACLE_SQL = {
     "op2_url_filter": url_filter.OP2_SQL,
     "op10_source_mix": source_mix.OP10_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
     "op13_lexical_search": lexical_scan.OP13_SQL,
 }
