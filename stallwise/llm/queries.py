@@ -5,6 +5,7 @@ from __future__ import annotations
 from stallwise.llm import (
     decontamination,
     hard_negatives,
+    jaccard_join,
     language_id,
     lexical_scan,
     line_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash_near.op9_simhash_near_dedup,
     "op10_source_mix": source_mix.op10_source_mix,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_jaccard_join": jaccard_join.op12_jaccard_join,
     "op13_lexical_search": lexical_scan.op13_lexical_search,
 }
 
@@ -36,5 +38,6 @@ ORACLE_SQL = {
     "op2_url_filter": url_filter.OP2_SQL,
     "op10_source_mix": source_mix.OP10_SQL,
     "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_jaccard_join": jaccard_join.OP12_SQL,
     "op13_lexical_search": lexical_scan.OP13_SQL,
 }
