@@ -11,12 +11,13 @@ differ in at most d = a + b - 2c.
 - Heavy sets enter inverted lists, and so do light ones that may link to a heavy one. A list of one shingle would hold
   every document with a frequent passage, so the lists are finer: at each level (a range of sizes) the shingles fall
   into d + 1 + g parts by hash, and each part, with all it holds, is a list. A linked pair agrees in g + 1 parts at
-  least. So a set with at most g long lists (over ``LONG`` entries) leaves those, whatever the partner does.
+  least. So a set whose empty parts and long lists (over ``LONG`` sets) are at most g leaves those, whatever the
+  partner does, and linked sets still meet once for each that was left to leave, and once more.
 - The boundary is the one of least cost by the numbers of sets of each small size: a subset is written once, a list
   entry is written, scanned and leads to candidates, ``LIST_COST`` in all.
 
-Lists are scanned without all pairs of them: members are compared with the list's smallest and largest set, then with
-one more in each list that this left in several components, and all pairs of unlike components of a list come last.
+Lists are scanned without all pairs of them: a set is compared with the one that most of its lists begin with, once
+more so in the lists that this left in several components, and all pairs of unlike components of a list come last.
 Links are decided by the exact sets, which are made anew for the texts that share a list. Components are those of all
 links. Sets equal in their 64-bit hashes count as equal.
 
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm.common import components, parts_of, saved, table
+from stallwise.llm.common import components, dropped, parts_of, saved, table
 from stallwise.llm.hashing import mixed, shingles, word_hashes
 
 SHINGLE = 4
@@ -113,17 +114,20 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     return np.unique(shingles(word_hashes(np.frombuffer(text or b"", dtype=np.uint8))[2], size))
 
 
-def list_keys(hashes: np.ndarray, level: int, percent: int) -> np.ndarray:
-    """Keys of the inverted lists of a set at a level: one for each part, by what it holds."""
+def list_keys(hashes: np.ndarray, level: int, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of the inverted lists of a set at a level, one for each part, by what it holds; and how many more it may
+    leave. Empty parts are left first, as all their sets would meet; a set with too many stays in all (-1)."""
     parts = parts_at(level, percent)
     with np.errstate(over="ignore"):
         spread = mixed(hashes + np.uint64(level + 1))
         part = ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(spread[order], dtype=np.uint64)])
-        ends = np.cumsum(np.bincount(part, minlength=parts))
-        held = sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
-        return mixed(mixed(held) + np.arange(parts, dtype=np.uint64) + (np.uint64(level + 1) << np.uint64(40)))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(spread[np.argsort(part, kind="stable")], dtype=np.uint64)])
+        sizes = np.bincount(part, minlength=parts)
+        ends = np.cumsum(sizes)
+        held = sums[ends] - sums[ends - sizes]
+        keys = mixed(mixed(held) + np.arange(parts, dtype=np.uint64) + (np.uint64(level + 1) << np.uint64(40)))
+    left = spare(level, percent) - int(np.count_nonzero(sizes == 0))
+    return (keys[sizes > 0], left) if left >= 0 else (keys, -1)
 
 
 @cache
@@ -144,69 +148,75 @@ def subset_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, text_hash, set, n, small, level, own, below) of every row: the hash and size of its set, the set itself
-    if small, and its list keys at its own level and the one below."""
+    """A row of each row of docs: row, doc_id, text_hash; set and n: hash and size of its set; small: the set itself, if
+    it is; level; own, own_left, below, below_left: ``list_keys`` at its own level and the one below."""
     rows = docs.select(docs["doc_id"], F.xxhash64(docs["text"]).alias("text_hash"), docs["text"].cast("binary"))
-    names = ["doc_id", "text_hash", "set", "n", "small", "level", "own", "below"]
+    names = ["doc_id", "text_hash", "set", "n", "small", "level", "own", "own_left", "below", "below_left"]
+    longs = pa.list_(pa.int64())
+    kinds = [pa.int64(), pa.int64(), longs, pa.int32(), longs, pa.int32(), longs, pa.int32()]
+
+    def signature(hashes: np.ndarray) -> tuple:
+        n = len(hashes)
+        if not n:
+            return 0, 0, *[None] * 6
+        with np.errstate(over="ignore"):
+            key = mixed(mixed(hashes).sum(dtype=np.uint64) + np.uint64(n))
+        levels = levels_of(n, percent)
+        lists = [(keys.view(np.int64), left) for keys, left in (list_keys(hashes, k, percent) for k in levels)]
+        small = hashes.view(np.int64) if n <= LIGHTEST else None
+        return int(key.view(np.int64)), n, small, levels[0], *lists[0], *(lists[1] if len(lists) > 1 else (None, None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches):
-            out = []
-            for text in batch.column(2):
-                hashes = shingle_set(text.as_py(), size)
-                n = len(hashes)
-                if not n:
-                    out.append((0, 0, None, None, None, None))
-                    continue
-                with np.errstate(over="ignore"):
-                    key = mixed(mixed(hashes).sum(dtype=np.uint64) + np.uint64(n))
-                levels = levels_of(n, percent)
-                keys = [list_keys(hashes, level, percent).view(np.int64) for level in levels] + [None]
-                small = hashes.view(np.int64) if n <= LIGHTEST else None
-                out.append((int(key.view(np.int64)), n, small, levels[0], keys[0], keys[1]))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            out = [signature(shingle_set(text.as_py(), size)) for text in batch.column(2)]
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    longs = "array<long>"
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, text_hash long, set long, n long, small {longs}, level int, own {longs}, below {longs}"
+    lists = "own array<long>, own_left int, below array<long>, below_left int"
+    signed = rows.mapInArrow(
+        run, f"doc_id {kind}, text_hash long, set long, n long, small array<long>, level int, {lists}"
     )
+    return signed.withColumn("row", F.monotonically_increasing_id())
 
 
 def _entries(signed: DataFrame, light: int, percent: int) -> DataFrame:
-    """(key, level, set, n): entries of the lists, and subsets of light sets at level -1."""
+    """(key, entry): the lists and subsets of each row; entry is 4 * row + 0 (own level), 1 (below), 2 (subset)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [subset_keys(np.asarray(s.values).view(np.uint64), percent).view(np.int64) for s in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["set", "n", "keys"]
-            )
+            keys = [subset_keys(np.asarray(s.values).view(np.uint64), percent).view(np.int64) for s in batch.column(1)]
+            keys = pa.array(keys, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), keys], names=["row", "keys"])
 
-    small = signed.where((F.col("n") > 0) & (F.col("n") <= light)).select("set", "n", "small").distinct()
-    subsets = small.mapInArrow(run, "set long, n long, keys array<long>").withColumn("level", F.lit(-1))
+    small = signed.where((F.col("n") > 0) & (F.col("n") <= light)).select("row", "small")
+    subsets = small.mapInArrow(run, "row long, keys array<long>").select("row", F.lit(2).alias("kind"), "keys")
     heavy = signed.where(F.col("n") * 100 >= percent * (light + 1))
-    own = heavy.select("set", "n", F.col("own").alias("keys"), "level")
-    below = heavy.where("below IS NOT NULL").select("set", "n", F.col("below").alias("keys"), F.col("level") - 1)
-    every = own.union(below).union(subsets.select("set", "n", "keys", "level"))
-    return every.select(F.explode("keys").alias("key"), "level", "set", "n")
-
-
-def _members(entries: DataFrame, percent: int) -> DataFrame:
-    """(key, set, n, low, high) of the lists with several sets; low and high: (set, n) of the ends of the list."""
-    one = F.struct("set", "n")
-    lists = entries.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count("*").alias("size"))
-    lists = saved(lists.where("low.set <> high.set"), "lists")
-    members = saved(entries.join(lists, "key").distinct(), "members")
-    long = members.where(F.col("size") > LONG)
-    counted = long.groupBy("set", "level").agg(F.count("*").alias("long"))
-    spares = F.array(*[F.lit(spare(level, percent)) for level in range(len(level_starts(percent)) - 1)])
-    allowed = F.when(F.col("level") >= 0, F.get(spares, F.col("level"))).otherwise(F.lit(0))
-    free = counted.where(F.col("long") <= allowed).select("set", "level")
-    kept = members.where(F.col("size") <= LONG).unionByName(long.join(free, ["set", "level"], "left_anti"))
-    return saved(kept.drop("level", "size"), "members")
+    own = heavy.select("row", F.lit(0).alias("kind"), F.col("own").alias("keys"))
+    below = heavy.where("below IS NOT NULL").select("row", F.lit(1), "below")
+    every = own.union(below).union(subsets)
+    return every.select(F.explode("keys").alias("key"), (F.col("row") * 4 + F.col("kind")).alias("entry"))
+
+
+def _members(entries: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, set, n, level, left) of the lists with several sets, after sets have left long lists; left: how many
+    more they might. Subsets are of level -1."""
+    met = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = saved(entries.join(met, "key", "left_semi"), "met")
+    kind = F.pmod("entry", F.lit(4))
+    level = F.when(kind == 2, F.lit(-1)).otherwise(F.col("level") - kind)
+    left = F.when(kind == 0, F.col("own_left")).when(kind == 1, F.col("below_left")).otherwise(F.lit(0))
+    named = met.withColumn("row", F.shiftright("entry", 2)).join(rows, "row")
+    named = named.select("key", "set", "n", level.cast("int").alias("level"), left.alias("left")).distinct()
+    named = saved(named, "named")
+    sizes = named.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    sized = saved(named.join(sizes, "key"), "sized")
+    long = sized.where(F.col("size") > LONG)
+    leaving = long.groupBy("set", "level").agg(F.count("*").alias("long"), F.min("left").alias("least"))
+    leaving = saved(leaving.where("long <= least").select("set", "level", "long"), "leaving")
+    marked = sized.join(leaving, ["set", "level"], "left").where((F.col("size") <= LONG) | F.col("long").isNull())
+    rest = F.greatest(F.col("left") - F.coalesce("long", F.lit(0)), F.lit(0)).cast("int")
+    return saved(marked.select("key", "set", "n", "level", rest.alias("left")), "members")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -232,13 +242,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _links(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFrame:
+def _best(met: DataFrame) -> DataFrame:
+    """(a, b): of the sets b that each set a met, the one it met most."""
+    counted = met.groupBy("a", "b").agg(F.count("*").alias("times"))
+    best = counted.groupBy("a").agg(F.max(F.struct("times", "b")).alias("best"))
+    return _ordered(best.select("a", F.col("best.b").alias("b")))
+
+
+def _links(docs: DataFrame, signed: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): links of sets whose components are those of all links."""
-    counted = signed.where((F.col("n") > 0) & (F.col("n") <= LIGHTEST)).groupBy("n").agg(F.count("*").alias("sets"))
+    counted = rows.where((F.col("n") > 0) & (F.col("n") <= LIGHTEST)).groupBy("n").agg(F.count("*").alias("sets"))
     light = boundary({r.n: r.sets for r in counted.collect()}, percent)
-    members = _members(_entries(signed, light, percent), percent)
+    members = _members(_entries(signed, light, percent), rows)
     place = F.struct("doc_id", "text_hash")
-    texts = signed.join(members.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(place).alias("p"))
+    texts = rows.join(members.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(place).alias("p"))
     sets = saved(_sets(docs, texts.select("set", "p.*"), size), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -247,37 +264,44 @@ def _links(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataF
         return saved(both.where((100 + percent) * common >= percent * (F.size("x") + F.size("y"))).select("a", "b"), "set-links")
 
     def labelled(links: DataFrame) -> DataFrame:
+        """Members of the lists that hold several components, with those."""
         labels = components(links).withColumnRenamed("node", "set")
-        rows = members.select("key", "set", "n").join(labels, "set", "left")
-        rows = rows.select("key", "set", "n", F.coalesce("component", "set").alias("label"))
-        mixed_lists = rows.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-        return saved(rows.join(mixed_lists.select("key"), "key", "left_semi"), "labelled")
-
-    ends = members.select("set", "n", F.explode(F.array("low", "high")).alias("e"))
-    ends = ends.where((F.col("set") != F.col("e.set")) & _may_link("n", "e.n", percent))
-    links = linked(_ordered(ends.select(F.col("set").alias("a"), F.col("e.set").alias("b"))))
-
-    rows = labelled(links)
-    chosen = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("set"), "set", "n", "label")).alias("c"))
-    met = rows.join(chosen, "key").where((F.col("label") != F.col("c.label")) & _may_link("n", "c.n", percent))
-    links = links.union(linked(_ordered(met.select(F.col("set").alias("a"), F.col("c.set").alias("b")))))
-
-    rows = labelled(links)
-    one, two = rows.toDF("key", "a", "a_n", "a_label"), rows.toDF("key", "b", "b_n", "b_label")
+        found = members.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set")).drop("component")
+        unlike = found.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
+        return saved(found.join(unlike.select("key"), "key", "left_semi"), "labelled")
+
+    # With which of the first sets of its lists a set is compared at first doesn't matter: the last step misses none.
+    firsts = members.groupBy("key").agg(F.min("set").alias("b"), F.min_by("n", "set").alias("b_n"))
+    met = members.withColumnRenamed("set", "a").join(firsts, "key")
+    links = linked(_best(met.where((F.col("a") != F.col("b")) & _may_link("n", "b_n", percent)).select("a", "b")))
+
+    found = labelled(links)
+    chosen = found.groupBy("key").agg(F.min(F.struct(F.xxhash64("set"), "set", "n", "label")).alias("c"))
+    met = found.join(chosen, "key").where((F.col("label") != F.col("c.label")) & _may_link("n", "c.n", percent))
+    links = links.union(linked(_best(met.select(F.col("set").alias("a"), F.col("c.set").alias("b")))))
+
+    found = labelled(links)
+    one, two = (found.select("key", *[F.col(c).alias(f"{x}_{c}") for c in found.columns[1:]]) for x in "ab")
     unlike = (F.col("a_label") < F.col("b_label")) & _may_link("a_n", "b_n", percent)
-    return links.union(linked(_ordered(one.join(two, "key").where(unlike))))
+    met = one.join(two, "key").where(unlike)
+    # Linked sets agree in more lists of a level than they may leave.
+    counted = met.groupBy("a_set", "b_set", "a_level").agg(F.count("*").alias("times"), F.min(F.least("a_left", "b_left")).alias("left"))
+    enough = counted.where("times > left").select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
+    return links.union(linked(_ordered(enough)))
 
 
 def linked_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text)."""
     signed = saved(_signed(docs, size, percent), "shingle-sets")
-    found = components(_links(docs, signed, size, percent)).withColumnRenamed("node", "set")
-    firsts = signed.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first"))
+    rows = saved(signed.drop("small", "own", "below"), "set-rows")
+    found = components(_links(docs, signed, rows, size, percent)).withColumnRenamed("node", "set")
+    dropped(signed)
+    firsts = rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first"))
     rooted = firsts.join(found, "set", "left").withColumn("root", F.coalesce("component", "set"))
     roots = rooted.groupBy("root").agg(F.min("first").alias("lowest"))
     # Written, so that the next join has plain shuffles below, which Spark may split at a hot set.
     lowest = saved(rooted.join(roots, "root").select("set", "lowest"), "set-groups")
-    out = signed.select("doc_id", "n", "set").join(lowest, "set", "left")
+    out = rows.select("doc_id", "n", "set").join(lowest, "set", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("lowest"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
