@@ -11,13 +11,13 @@ differ in at most d = a + b - 2c.
 - Heavy sets enter inverted lists, and so do light ones that may link to a heavy one. A list of one shingle would hold
   every document with a frequent passage, so the lists are finer: at each level (a range of sizes) the shingles fall
   into d + 1 + g parts by hash, and each part, with all it holds, is a list. A linked pair agrees in g + 1 parts at
-  least. So a set whose empty parts and long lists (over ``LONG`` sets) are at most g leaves those, whatever the
-  partner does, and linked sets still meet once for each that was left to leave, and once more.
+  least. So a set leaves g of its parts, empty ones and then its longest lists, and still meets its partners.
 - The boundary is the one of least cost by the numbers of sets of each small size: a subset is written once, a list
   entry is written, scanned and leads to candidates, ``LIST_COST`` in all.
 
-Lists are scanned without all pairs of them: a set is compared with the one that most of its lists begin with, once
-more so in the lists that this left in several components, and all pairs of unlike components of a list come last.
+Lists are scanned without all pairs of them: a set is first compared with the one that most of its lists begin with.
+Of lists that this leaves in several components, those of up to ``LONG`` sets give their pairs of unlike components; in
+longer ones the differences from the first set of the list are joined in place of the sets (see ``_close``).
 Links are decided by the exact sets, which are made anew for the texts that share a list. Components are those of all
 links. Sets equal in their 64-bit hashes count as equal.
 
@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from stallwise.llm.common import components, dropped, parts_of, saved, table
 from stallwise.llm.hashing import mixed, shingles, word_hashes
@@ -199,8 +200,8 @@ def _entries(signed: DataFrame, light: int, percent: int) -> DataFrame:
 
 
 def _members(entries: DataFrame, rows: DataFrame) -> DataFrame:
-    """(key, set, n, level, left) of the lists with several sets, after sets have left long lists; left: how many
-    more they might. Subsets are of level -1."""
+    """(key, set, n) of the lists with several sets, after each set has left as many of its longest as it may. Subsets
+    are of level -1 and left by none."""
     met = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     met = saved(entries.join(met, "key", "left_semi"), "met")
     kind = F.pmod("entry", F.lit(4))
@@ -210,13 +211,9 @@ def _members(entries: DataFrame, rows: DataFrame) -> DataFrame:
     named = named.select("key", "set", "n", level.cast("int").alias("level"), left.alias("left")).distinct()
     named = saved(named, "named")
     sizes = named.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    sized = saved(named.join(sizes, "key"), "sized")
-    long = sized.where(F.col("size") > LONG)
-    leaving = long.groupBy("set", "level").agg(F.count("*").alias("long"), F.min("left").alias("least"))
-    leaving = saved(leaving.where("long <= least").select("set", "level", "long"), "leaving")
-    marked = sized.join(leaving, ["set", "level"], "left").where((F.col("size") <= LONG) | F.col("long").isNull())
-    rest = F.greatest(F.col("left") - F.coalesce("long", F.lit(0)), F.lit(0)).cast("int")
-    return saved(marked.select("key", "set", "n", "level", rest.alias("left")), "members")
+    longest = W.partitionBy("set", "level").orderBy(F.desc("size"), "key")
+    ranked = named.join(sizes, "key").withColumn("place", F.row_number().over(longest))
+    return saved(ranked.where("place > left").select("key", "set", "n"), "members")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -249,6 +246,49 @@ def _best(met: DataFrame) -> DataFrame:
     return _ordered(best.select("a", F.col("best.b").alias("b")))
 
 
+def _most_apart(n: Column, percent: int) -> Column:
+    """Shingles in which a set of size n and any set linked with it differ at most."""
+    return F.floor((100 - percent) * (n + F.floor(100 * n / percent)) / (100 + percent))
+
+
+def _differences(long: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, hub_n, set, n, apart) of the members of long lists: their differences from the first set of a list."""
+    firsts = long.groupBy("key").agg(F.min("set").alias("hub"), F.min_by("n", "set").alias("hub_n"))
+    near = long.join(firsts, "key").select("hub", "hub_n", "set", "n").distinct()
+    both = near.join(sets.toDF("set", "x"), "set").join(sets.toDF("hub", "h"), "hub")
+    apart = F.concat(F.array_except("x", "h"), F.array_except("h", "x")).alias("apart")
+    return saved(both.select("hub", "hub_n", "set", "n", apart), "differences")
+
+
+def _close(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of unlike components, near one hub, that may link; all of those that do are among them.
+
+    Two sets differ in what their differences from the hub don't share, so close sets share much of those: a prefix
+    filter, rarest shingles first. Of two sets the one nearer to the hub has a shared shingle among its first d / 2 + 1,
+    the other among its first d + 1, if linked sets differ in at most d. One mark that all share, the last in the
+    order, stands for pairs that may differ in all.
+    """
+    mark = F.lit(None).cast("long")
+    rows = differences.withColumn("d", F.size("apart")).select(
+        "hub", "set", "n", "d", F.explode(F.concat("apart", F.array(mark))).alias("shingle")
+    )
+    often = rows.where("shingle IS NOT NULL").groupBy("hub", "shingle").agg(F.count("*").alias("often"))
+    placed = rows.join(often, ["hub", "shingle"], "left")
+    rare = W.partitionBy("hub", "set").orderBy(F.col("often").asc_nulls_last(), "shingle")
+    most = _most_apart(F.col("n"), percent)
+    placed = placed.withColumn("place", F.row_number().over(rare)).where(F.col("place") <= most + 1)
+    placed = placed.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set"))
+    first = (F.col("place") <= F.floor(most / 2) + 1).alias("first")
+    shingle = F.coalesce("shingle", F.lit(0)).alias("shingle")
+    placed = saved(placed.select("hub", shingle, first, "set", "n", "d", "label"), "prefixes")
+    columns = ("set", "n", "d", "label")
+    one, two = (placed.select("hub", "shingle", "first", *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in "ab")
+    met = one.where("first").drop("first").join(two.drop("first"), ["hub", "shingle"])
+    nearer = F.struct("a_d", "a_set") < F.struct("b_d", "b_set")
+    met = met.where(nearer & (F.col("a_label") != F.col("b_label")) & _may_link("a_n", "b_n", percent))
+    return met.select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
+
+
 def _links(docs: DataFrame, signed: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): links of sets whose components are those of all links."""
     counted = rows.where((F.col("n") > 0) & (F.col("n") <= LIGHTEST)).groupBy("n").agg(F.count("*").alias("sets"))
@@ -261,33 +301,33 @@ def _links(docs: DataFrame, signed: DataFrame, rows: DataFrame, size: int, perce
     def linked(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
-        return saved(both.where((100 + percent) * common >= percent * (F.size("x") + F.size("y"))).select("a", "b"), "set-links")
+        link = (100 + percent) * common >= percent * (F.size("x") + F.size("y"))
+        return saved(both.where(link).select("a", "b"), "set-links")
 
-    def labelled(links: DataFrame) -> DataFrame:
-        """Members of the lists that hold several components, with those."""
-        labels = components(links).withColumnRenamed("node", "set")
+    def labelled(labels: DataFrame) -> DataFrame:
+        """Members of the lists that hold several components, with those, and the list's size."""
         found = members.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set")).drop("component")
-        unlike = found.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-        return saved(found.join(unlike.select("key"), "key", "left_semi"), "labelled")
+        lists = found.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size"))
+        return saved(found.join(lists.where("l <> h").select("key", "size"), "key"), "labelled")
 
-    # With which of the first sets of its lists a set is compared at first doesn't matter: the last step misses none.
+    # With which of the first sets of its lists a set is compared at first doesn't matter: the last steps miss none.
     firsts = members.groupBy("key").agg(F.min("set").alias("b"), F.min_by("n", "set").alias("b_n"))
     met = members.withColumnRenamed("set", "a").join(firsts, "key")
     links = linked(_best(met.where((F.col("a") != F.col("b")) & _may_link("n", "b_n", percent)).select("a", "b")))
 
-    found = labelled(links)
-    chosen = found.groupBy("key").agg(F.min(F.struct(F.xxhash64("set"), "set", "n", "label")).alias("c"))
-    met = found.join(chosen, "key").where((F.col("label") != F.col("c.label")) & _may_link("n", "c.n", percent))
-    links = links.union(linked(_best(met.select(F.col("set").alias("a"), F.col("c.set").alias("b")))))
+    found = labelled(components(links).withColumnRenamed("node", "set"))
+    differences = _differences(found.where(F.col("size") > LONG), sets)
+    near = (100 + percent) * F.size("apart") <= (100 - percent) * (F.col("n") + F.col("hub_n"))
+    near = differences.where(near & (F.col("set") != F.col("hub")))
+    ends = F.least("set", "hub").alias("a"), F.greatest("set", "hub").alias("b")
+    links = links.union(saved(near.select(*ends), "near-hub"))
 
-    found = labelled(links)
-    one, two = (found.select("key", *[F.col(c).alias(f"{x}_{c}") for c in found.columns[1:]]) for x in "ab")
+    labels = saved(components(links).withColumnRenamed("node", "set"), "set-labels")
+    short = labelled(labels).where(F.col("size") <= LONG)
+    one, two = (short.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("set", "n", "label")]) for x in "ab")
     unlike = (F.col("a_label") < F.col("b_label")) & _may_link("a_n", "b_n", percent)
-    met = one.join(two, "key").where(unlike)
-    # Linked sets agree in more lists of a level than they may leave.
-    counted = met.groupBy("a_set", "b_set", "a_level").agg(F.count("*").alias("times"), F.min(F.least("a_left", "b_left")).alias("left"))
-    enough = counted.where("times > left").select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
-    return links.union(linked(_ordered(enough)))
+    met = one.join(two, "key").where(unlike).select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
+    return links.union(linked(_ordered(met.union(_close(differences, labels, percent)))))
 
 
 def linked_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
