@@ -71,6 +71,51 @@ severity AS (
 
 _FIELDS = "order_id::VARCHAR AS order_id, category, reason, severity, about_deadline, about_product, about_service"
 
+TOPICS, PASSES, SEED, MAX_PERCENT = 4, 8, 42, 25
+
+
+def _topic_steps(passes: int) -> str:
+    """Shares of the topics after each pass, as s0, s1, ...; wN holds the weights of the terms after the last."""
+    z = range(TOPICS)
+    occurrences = "unnest(regexp_split_to_array(lower(review_comment_message), '\\P{L}+')) AS term"
+    first = ", ".join(f"(('0x' || substr(md5('{SEED} {i} ' || term), 1, 7))::BIGINT % 1000 + 1) * n AS r{i}" for i in z)
+    out = [
+        f"occurrences AS (SELECT order_id, {occurrences} FROM eligible)",
+        "counts AS (SELECT order_id, term, count(*) AS n FROM occurrences WHERE length(term) >= 3 GROUP BY ALL)",
+        f"""vocabulary AS (
+  SELECT term FROM counts GROUP BY term HAVING count(*) * 100 <= (SELECT count(*) FROM eligible) * {MAX_PERCENT})""",
+        f"s0 AS MATERIALIZED (SELECT order_id, term, n, {first} FROM counts SEMI JOIN vocabulary USING (term))",
+    ]
+    sums = ", ".join(f"sum(r{i})::BIGINT AS r{i}" for i in z)
+    q = ", ".join(
+        f"(d.r{i} + 100000)::DOUBLE * ((w.r{i} + 10000)::DOUBLE / (t.r{i} + 10000 * terms)::DOUBLE) AS q{i}" for i in z
+    )
+    whole = " + ".join(f"q{i}" for i in z)
+    shares = ", ".join(f"floor((n * 1000000)::DOUBLE * (q{i} / ({whole})))::BIGINT AS r{i}" for i in z)
+    for p in range(passes):
+        last = f"s{p}"
+        out.append(f"""s{p + 1} AS MATERIALIZED (
+  SELECT order_id, term, n, {shares} FROM (
+    SELECT s.order_id, s.term, s.n, {q}
+    FROM {last} s JOIN (SELECT term, {sums} FROM {last} GROUP BY 1) w ON s.term = w.term
+    JOIN (SELECT order_id, {sums} FROM {last} GROUP BY 1) d ON s.order_id = d.order_id,
+    (SELECT {sums}, count(DISTINCT term) AS terms FROM {last}) t))""")
+    out.append(f"weights AS MATERIALIZED (SELECT term, {sums} FROM s{passes} GROUP BY 1)")
+    return ",\n".join(out)
+
+
+_LEADING = """led AS (
+  SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY w DESC, term) - 1 AS place, term
+  FROM (SELECT unnest(range({k})) AS topic, term, unnest([{r}]) AS w FROM weights)
+  QUALIFY place < 8)""".format(k=TOPICS, r=", ".join(f"r{i}" for i in range(TOPICS)))
+
+_WHOLE = " + ".join(f"r{i}" for i in range(TOPICS))
+_FALLS = ", ".join(f"sum(floor((n * 1000000)::DOUBLE * (r{i}::DOUBLE / ({_WHOLE})::DOUBLE)))" for i in range(TOPICS))
+_ASSIGNED = f"""falls AS (SELECT order_id, [{_FALLS}] AS sums FROM counts JOIN weights USING (term) GROUP BY 1),
+assigned AS (
+  SELECT 'topic_' || coalesce(list_position(sums, list_max(sums)) - 1, 0) AS category
+  FROM eligible LEFT JOIN falls USING (order_id))"""
+
 TEXT_SQL = {
     "text_eligible": with_model("SELECT * FROM eligible", _ELIGIBLE),
     "text_population": with_model("SELECT count(*) AS population FROM eligible", _ELIGIBLE),
@@ -110,6 +155,30 @@ TEXT_SQL = {
     WHERE length(term) >= 3 GROUP BY 1""",
         _ELIGIBLE,
     ),
+    "text_topic_step": with_model(
+        "SELECT term, " + ", ".join(f"r{i} AS share_{i}" for i in range(TOPICS)) + " FROM weights",
+        _ELIGIBLE,
+        _topic_steps(1),
+    ),
+    "text_topics": with_model(
+        """
+    SELECT 'topic_' || topic AS category_id, display_name, 'Texts about ' || words AS description, place::INT AS place,
+           term AS keyword
+    FROM led JOIN (
+      SELECT topic, string_agg(term, ', ' ORDER BY place) FILTER (place < 3) AS display_name,
+             string_agg(term, ', ' ORDER BY place) AS words
+      FROM led GROUP BY topic) USING (topic)""",
+        _ELIGIBLE,
+        _topic_steps(PASSES),
+        _LEADING,
+    ),
+    "text_topic_shares": with_model(
+        f"SELECT category, count(*) AS complaints, {rnd(pct('count(*)', 'sum(count(*)) OVER ()'), 1)} AS pct "
+        "FROM assigned GROUP BY 1",
+        _ELIGIBLE,
+        _topic_steps(PASSES),
+        _ASSIGNED,
+    ),
     "text_enriched": with_model("SELECT *, 'fixture' AS run_id FROM classified", *_ALL),
     "text_failure_share": with_model(
         f"SELECT count(*) AS total, count(*) FILTER (is_fallback) AS unclassified, "

@@ -1,23 +1,33 @@
-"""Topic discovery over review texts with Spark ML."""
+"""Topic discovery over review texts: a factorisation of the term counts by joins and aggregates.
+
+Each occurrence of a term in a text is divided among ``k`` topics (expectation maximisation). A pass reads the shares
+of the last one, sums them by term and by text, and divides the occurrences anew in proportion to both sums. Shares
+are whole millionths of an occurrence, so all sums are exact and do not depend on the order of rows or on lost tasks.
+The first shares come from a hash of term and topic.
+
+Counts, shares and sums are tables keyed by term or text: nothing of the vocabulary's size leaves the cluster, sums
+are combined on the map side, and Spark chooses from measured sizes whether to broadcast the sums or to shuffle.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallwise.operators.ranking import top_per_group
 from stallwise.plans.enrichment import TEXT
 from stallwise.session import written
 from stallwise.sources.schemas import TAXONOMY
 
 MIN_TOPICS, MAX_TOPICS = 4, 6
-
-
 MIN_LETTERS = 3
+#: Parts of an occurrence; what a text and a term have of every topic from the start, in such parts.
+PARTS, TEXT_PRIOR, TERM_PRIOR = 1_000_000, 100_000, 10_000
 
 
 def tokens(text: Column) -> Column:
@@ -31,28 +41,87 @@ def term_documents(reviews: DataFrame) -> DataFrame:
     return words.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def term_counts(reviews: DataFrame) -> DataFrame:
+    """(order_id, term, n): occurrences of each term in each text."""
+    words = reviews.select("order_id", F.explode(tokens(F.col(TEXT))).alias("term"))
+    return words.groupBy("order_id", "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def known_terms(
+    reviews: DataFrame, min_documents: int = 1, max_percent: int = 100, stop_words: list[str] | None = None
+) -> DataFrame:
+    """(term): terms of the vocabulary, by the number and the percentage of the texts that have them."""
+    texts = reviews.agg(F.count(F.lit(1))).scalar()
+    often = (F.col("documents") >= min_documents) & (F.col("documents") * 100 <= texts * max_percent)
+    found = term_documents(reviews).where(often).select("term")
+    return found.where(~F.col("term").isin(stop_words)) if stop_words else found
+
+
+def shares(k: int) -> list[str]:
+    return [f"share_{z}" for z in range(k)]
+
+
+def first_shares(counts: DataFrame, k: int, seed: int) -> DataFrame:
+    """Counts with a share for each topic that only the term, the topic and the seed decide."""
+    weights = []
+    for z in range(k):
+        digest = F.md5(F.concat(F.lit(f"{seed} {z} "), "term"))
+        weights.append(F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % 1000 + 1)
+    return counts.select("order_id", "term", "n", *[(w * F.col("n")).alias(s) for w, s in zip(weights, shares(k))])
+
+
+def _sums(divided: DataFrame, k: int, *keys: str) -> DataFrame:
+    return divided.groupBy(*keys).agg(*[F.sum(s).alias(f"by_{keys[0]}_{s}") for s in shares(k)])
+
+
+def next_shares(divided: DataFrame, k: int, terms: int) -> DataFrame:
+    """One pass over occurrences divided among the topics; ``terms`` is the size of the vocabulary."""
+    names = shares(k)
+    totals = divided.agg(F.struct(*[F.sum(s).alias(s) for s in names])).scalar()
+    rows = divided.select("order_id", "term", "n").join(_sums(divided, k, "term"), "term")
+    rows = rows.join(_sums(divided, k, "order_id"), "order_id").withColumn("totals", totals)
+    columns = {}
+    for z, s in enumerate(names):
+        in_text = (F.col(f"by_order_id_{s}") + TEXT_PRIOR).cast("double")
+        in_topic = (F.col(f"by_term_{s}") + TERM_PRIOR).cast("double")
+        columns[f"q{z}"] = in_text * (in_topic / (F.col(f"totals.{s}") + TERM_PRIOR * terms).cast("double"))
+    rows = rows.withColumns(columns).withColumn("q", reduce(add, [F.col(f"q{z}") for z in range(k)]))
+    parts = (F.col("n") * PARTS).cast("double")
+    return rows.select(
+        "order_id", "term", "n", *[F.floor(parts * (F.col(f"q{z}") / F.col("q"))).alias(s) for z, s in enumerate(names)]
+    )
+
+
 @dataclass(frozen=True)
 class TopicModel:
-    counter: CountVectorizerModel
-    topics: object
+    """``weights``: (term, share_0, share_1, ...), a table on the cluster."""
+
+    weights: DataFrame
+    k: int
     terms: int
 
+    def leading_terms(self) -> DataFrame:
+        """(topic, place, term): the terms with the largest weight in each topic, ties by the term."""
+        listed = F.explode(F.array(*[F.struct(F.lit(z).alias("topic"), F.col(s).alias("w")) for z, s in enumerate(shares(self.k))]))
+        rows = self.weights.select("term", listed.alias("t")).select("term", "t.topic", "t.w")
+        best = top_per_group(rows, ["topic"], [F.desc("w"), F.asc("term")], self.terms)
+        ordered = F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("w"), "term")))
+        return best.groupBy("topic").agg(ordered.alias("t")).select("topic", F.posexplode("t.term").alias("place", "term"))
+
     def categories(self) -> list[dict]:
         """Topics as categories: at most six rows of ``terms`` keywords leave the cluster."""
-        vocabulary = self.counter.vocabulary
-        rows = self.topics.describeTopics(self.terms).orderBy("topic").collect()
-        out = []
-        for row in rows:
-            words = [vocabulary[i] for i in row["termIndices"]]
-            out.append(
-                {
-                    "category_id": f"topic_{row['topic']}",
-                    "display_name": ", ".join(words[:3]),
-                    "description": "Texts about " + ", ".join(words),
-                    "keywords": words,
-                }
-            )
-        return out
+        words = {}
+        for row in self.leading_terms().orderBy("topic", "place").collect():
+            words.setdefault(row.topic, []).append(row.term)
+        return [
+            {
+                "category_id": f"topic_{topic}",
+                "display_name": ", ".join(found[:3]),
+                "description": "Texts about " + ", ".join(found),
+                "keywords": found,
+            }
+            for topic, found in words.items()
+        ]
 
     def taxonomy(self, df: DataFrame) -> DataFrame:
         """One row under the taxonomy contract."""
@@ -61,15 +130,17 @@ class TopicModel:
         return df.sparkSession.createDataFrame([(found, summary)], TAXONOMY)
 
     def assign(self, reviews: DataFrame) -> DataFrame:
-        """Topic with the largest weight in each text."""
-        weights = vector_to_array("topicDistribution")
-        ready = self.topics.transform(self.counter.transform(_words(reviews)))
-        place = F.array_position(weights, F.array_max(weights)) - 1
-        return ready.select("order_id", F.concat(F.lit("topic_"), place.cast("string")).alias("category"))
-
-
-def _words(reviews: DataFrame) -> DataFrame:
-    return reviews.select("order_id", tokens(F.col(TEXT)).alias("_words"))
+        """(order_id, category): the topic that the most of a text's known occurrences fall to, each divided by the
+        weights of its term; ties and texts without a known term: the first topic."""
+        names = shares(self.k)
+        whole = reduce(add, [F.col(s) for s in names]).cast("double")
+        parts = (F.col("n") * PARTS).cast("double")
+        divided = [F.floor(parts * (F.col(s).cast("double") / whole)) for s in names]
+        met = term_counts(reviews).join(self.weights, "term")
+        summed = met.groupBy("order_id").agg(F.array(*[F.sum(d) for d in divided]).alias("sums"))
+        place = F.coalesce(F.array_position("sums", F.array_max("sums")) - 1, F.lit(0))
+        joined = reviews.select("order_id").join(summed, "order_id", "left")
+        return joined.select("order_id", F.concat(F.lit("topic_"), place.cast("string")).alias("category"))
 
 
 def discover_topics(
@@ -80,20 +151,21 @@ def discover_topics(
     min_documents: int = 1,
     languages: tuple[str, ...] = ("portuguese",),
     passes: int = 20,
+    max_percent: int = 100,
 ) -> TopicModel:
     """Fit ``k`` topics on all given texts.
 
-    The vocabulary holds every term that at least ``min_documents`` texts have, but stop words; it is kept on the
-    driver by the term counter, so raise that number where the corpus has millions of terms. The online optimiser
-    draws in each of its ``passes`` as many texts as there are, with replacement: with 20 passes the chance that a
-    text is never drawn is two in a thousand million. The passes read the written term counts, not the texts.
+    The vocabulary holds every term that at least ``min_documents`` texts and at most ``max_percent`` of them have, but
+    the stop words of the ``languages``. Each pass is one job that starts from the written shares of the last.
     """
     if not MIN_TOPICS <= k <= MAX_TOPICS:
         raise ValueError(f"k must be {MIN_TOPICS}..{MAX_TOPICS}")
     stop_words = [w for language in languages for w in StopWordsRemover.loadDefaultStopWords(language)]
-    known = term_documents(reviews).where((F.col("documents") >= min_documents) & ~F.col("term").isin(stop_words))
-    vocabulary = [r.term for r in known.orderBy(F.desc("documents"), "term").collect()]
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="features")
-    counts = written(counter.transform(_words(reviews)).select("features"), "term-counts")
-    lda = LDA(k=k, seed=seed, maxIter=passes, optimizer="online", subsamplingRate=1.0, featuresCol="features")
-    return TopicModel(counter, lda.fit(counts), terms)
+    known = known_terms(reviews, min_documents, max_percent, stop_words)
+    counts = term_counts(reviews).join(known, "term", "left_semi")
+    divided = written(first_shares(counts, k, seed), "topic-shares")
+    size = divided.agg(F.count_distinct("term").alias("n")).first().n
+    for _ in range(passes):
+        divided = written(next_shares(divided, k, size), "topic-shares")
+    weights = divided.groupBy("term").agg(*[F.sum(s).alias(s) for s in shares(k)])
+    return TopicModel(written(weights, "topic-weights"), k, terms)

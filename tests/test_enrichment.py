@@ -1,5 +1,6 @@
 import json
 import sys
+from collections import Counter
 
 import pytest
 from pyspark import cloudpickle
@@ -106,8 +107,8 @@ def test_missing_text_does_not_stop_a_failing_lot(spark):
 
 def test_rare_words_reach_the_vocabulary(spark):
     df = texts(spark, [(f"o{i}", "alpha beta gamma delta " * 3 + ("unheard" if i == 7 else "")) for i in range(30)])
-    assert "unheard" in topics.discover_topics(df, k=4, passes=2).counter.vocabulary
-    assert "unheard" not in topics.discover_topics(df, k=4, passes=2, min_documents=2).counter.vocabulary
+    fits = [topics.discover_topics(df, k=4, passes=2, min_documents=n).weights for n in (1, 2)]
+    assert ["unheard" in {r.term for r in weights.collect()} for weights in fits] == [True, False]
 
 
 def test_json_replies_become_rows(spark):
@@ -169,3 +170,42 @@ def test_topics_fill_the_taxonomy_contract(spark):
     assert len(assigned) == 90 and {r.category for r in assigned} <= known
     with pytest.raises(ValueError):
         topics.discover_topics(df, k=9)
+
+
+def test_a_pass_against_numpy(spark):
+    """Shares of one pass, and what every pass keeps: each occurrence is divided whole, but for rounding."""
+    import numpy as np
+
+    rows = [(d, w, n) for d, text in enumerate(["a b c", "a a d", "b d e e", "f"]) for w, n in Counter(text.split()).items()]
+    counts = spark.createDataFrame([(f"o{d}", w, n) for d, w, n in rows], "order_id string, term string, n long")
+    first = topics.first_shares(counts, 4, 1)
+    start = {(r.order_id, r.term): np.array([r[s] for s in topics.shares(4)], dtype=float) for r in first.collect()}
+    got = {(r.order_id, r.term): r for r in topics.next_shares(first, 4, 6).collect()}
+    total = sum(start.values())
+    for d, w, n in rows:
+        in_text = sum(v for (o, _), v in start.items() if o == f"o{d}") + topics.TEXT_PRIOR
+        in_topic = (sum(v for (_, t), v in start.items() if t == w) + topics.TERM_PRIOR) / (total + topics.TERM_PRIOR * 6)
+        want = np.floor(n * topics.PARTS * in_text * in_topic / sum(in_text * in_topic))
+        found = np.array([got[f"o{d}", w][s] for s in topics.shares(4)])
+        assert np.abs(found - want).max() <= 1 and n * topics.PARTS - 4 <= found.sum() <= n * topics.PARTS
+
+
+def test_topics_find_groups_of_terms(spark):
+    groups = ["kalo", "nesti", "puru", "wim"]
+    rows = [(f"o{i}", " ".join(f"{groups[i % 4]}{'abcdefgh'[j]}" for j in range(i % 3, i % 3 + 5))) for i in range(120)]
+    df = texts(spark, rows).repartition(5)
+    model = topics.discover_topics(df, k=4, terms=4, passes=15, seed=3)
+    again = topics.discover_topics(df.repartition(2), k=4, terms=4, passes=15, seed=3)
+    assert model.categories() == again.categories()
+    names = {r.order_id: r.category for r in model.assign(df).collect()}
+    share = sum(Counter(names[f"o{i}"] for i in range(g, 120, 4)).most_common(1)[0][1] for g in range(4)) / 120
+    assert share > 0.9
+    plan = model.weights._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan
+
+
+def test_frequent_terms_are_left_out(spark):
+    df = texts(spark, [(f"o{i}", f"word und{'x' * (i + 1)} common") for i in range(10)])
+    kept = {r.term for r in topics.known_terms(df, max_percent=50).collect()}
+    assert "common" not in kept and "word" not in kept and len(kept) == 10
+    assert topics.known_terms(df, max_percent=50, stop_words=["undx"]).count() == 9

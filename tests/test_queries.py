@@ -8,18 +8,13 @@ import compare
 QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.LLM_QUERIES}
 ORACLE = {k: v for k, v in entry.oracle_sql().items() if k not in entry.LLM_SQL}
 
-# Fits of a topic model run Spark jobs while the plan is built.
-FITTED = {"text_topics", "text_topic_shares"}
-
-
 @pytest.fixture(scope="module")
 def con(sf):
     return compare.database(sf)
 
 
 def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == FITTED
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_fixed_values_of_the_sql_are_those_of_the_code():
@@ -31,6 +26,9 @@ def test_fixed_values_of_the_sql_are_those_of_the_code():
     assert text.TAXONOMY == catalogue.TAXONOMY and quality.TREATMENTS == audit.TREATMENTS
     assert (text.DEADLINE_WORDS, text.PRODUCT_WORDS) == (catalogue.DEADLINE_WORDS, catalogue.PRODUCT_WORDS)
     assert text.FALLBACK_REASON == constants.FALLBACK_REASON
+    assert (text.TOPICS, text.PASSES, text.SEED, text.MAX_PERCENT) == (
+        catalogue.TOPICS, catalogue.TOPIC_PASSES, catalogue.TOPIC_SEED, catalogue.TOPIC_MAX_PERCENT,
+    )
 
 
 def test_quality_run_derives_each_entity_once(spark, sf):
@@ -66,14 +64,6 @@ def test_query_equals_sql(spark, sf, con, name):
     assert compare.difference(df, con, ORACLE[name]) is None
 
 
-def test_queries_without_sql(spark, sf):
-    found = QUERIES["text_topics"](spark, sf).collect()
-    assert len(found) == 4 and all(len(r.keywords) == 8 for r in found)
-    shares = QUERIES["text_topic_shares"](spark, sf).collect()
-    assert {r.category for r in shares} <= {r.category_id for r in found}
-    assert abs(sum(r.pct for r in shares) - 100) < 1
-
-
 def test_focus_states_are_those_of_the_region(spark, sf):
     from stallwise import catalogue
     from stallwise.sources import fixtures
