@@ -35,28 +35,41 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"\P{L}+"), lambda w: F.length(w) >= MIN_LETTERS)
 
 
+def _worded(reviews: DataFrame) -> DataFrame:
+    return reviews.select("order_id", tokens(F.col(TEXT)).alias("words"))
+
+
+def _documents(worded: DataFrame) -> DataFrame:
+    return worded.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("documents")
+    )
+
+
 def term_documents(reviews: DataFrame) -> DataFrame:
     """Texts per term, over all texts: what the vocabulary is made from."""
-    words = reviews.select(F.explode(F.array_distinct(tokens(F.col(TEXT)))).alias("term"))
-    return words.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    return _documents(_worded(reviews))
 
 
-def term_counts(reviews: DataFrame) -> DataFrame:
+def _counts(worded: DataFrame) -> DataFrame:
     """(order_id, term, n): occurrences of each term in each text."""
-    words = reviews.select("order_id", F.explode(tokens(F.col(TEXT))).alias("term"))
+    words = worded.select("order_id", F.explode("words").alias("term"))
     return words.groupBy("order_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def known_terms(
-    reviews: DataFrame, min_documents: int = 1, max_percent: int = 100, stop_words: list[str] | None = None
-) -> DataFrame:
+def _known(worded: DataFrame, min_documents: int, max_percent: int, stop_words: list[str]) -> DataFrame:
     """(term): terms of the vocabulary, by the number and the percentage of the texts that have them."""
-    texts = reviews.agg(F.count(F.lit(1))).scalar()
+    texts = worded.agg(F.count(F.lit(1))).scalar()
     often = (F.col("documents") >= min_documents) & (F.col("documents") * 100 <= texts * max_percent)
-    found = term_documents(reviews).where(often).select("term")
+    found = _documents(worded).where(often).select("term")
     return found.where(~F.col("term").isin(stop_words)) if stop_words else found
 
 
+def known_terms(
+    reviews: DataFrame, min_documents: int = 1, max_percent: int = 100, stop_words: list[str] | None = None
+) -> DataFrame:
+    return _known(_worded(reviews), min_documents, max_percent, stop_words or [])
+
+
 def shares(k: int) -> list[str]:
     return [f"share_{z}" for z in range(k)]
 
@@ -136,7 +149,7 @@ class TopicModel:
         whole = reduce(add, [F.col(s) for s in names]).cast("double")
         parts = (F.col("n") * PARTS).cast("double")
         divided = [F.floor(parts * (F.col(s).cast("double") / whole)) for s in names]
-        met = term_counts(reviews).join(self.weights, "term")
+        met = _counts(_worded(reviews)).join(self.weights, "term")
         summed = met.groupBy("order_id").agg(F.array(*[F.sum(d) for d in divided]).alias("sums"))
         place = F.coalesce(F.array_position("sums", F.array_max("sums")) - 1, F.lit(0))
         joined = reviews.select("order_id").join(summed, "order_id", "left")
@@ -161,9 +174,9 @@ def discover_topics(
     if not MIN_TOPICS <= k <= MAX_TOPICS:
         raise ValueError(f"k must be {MIN_TOPICS}..{MAX_TOPICS}")
     stop_words = [w for language in languages for w in StopWordsRemover.loadDefaultStopWords(language)]
-    known = known_terms(reviews, min_documents, max_percent, stop_words)
-    counts = term_counts(reviews).join(known, "term", "left_semi")
-    divided = written(first_shares(counts, k, seed), "topic-shares")
+    worded = written(_worded(reviews), "topic-words")
+    known = _known(worded, min_documents, max_percent, stop_words)
+    divided = written(first_shares(_counts(worded).join(known, "term", "left_semi"), k, seed), "topic-shares")
     size = divided.agg(F.count_distinct("term").alias("n")).first().n
     for _ in range(passes):
         divided = written(next_shares(divided, k, size), "topic-shares")
