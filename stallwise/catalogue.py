@@ -253,8 +253,9 @@ def dq_audit(spark, sf):
     return audit.audit(fx.orders(spark, sf), fx.products(spark, sf), fx.reviews(spark, sf), items, limit)
 
 
+@lru_cache(maxsize=4)
 def _run(spark, sf):
-    """The run with each tagged entity written once, as the file run does."""
+    """One run for all its queries in a session, with each tagged entity written once, as the file run does."""
     return quality.run_quality(
         fx.Entities(spark, sf),
         quality.rule_sets(fx.CARD),

@@ -8,8 +8,9 @@ and AQE splits a hot one. A key that fills a third of the child is one row in th
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,16 @@ FAILED_REFERENCE = "failed_reference"
 
 @dataclass(frozen=True)
 class Reference:
-    """``child_col`` of the child must exist as ``parent_col`` of ``parent``."""
+    """``child_col`` of the child must exist as ``parent_col`` of ``parent``.
+
+    ``orphans``: the keys without a parent, in a column ``_orphan_key``, where they are known already.
+    """
 
     name: str
     child_col: str
     parent: DataFrame
     parent_col: str
+    orphans: DataFrame | None = None
 
     @property
     def reason(self) -> str:
@@ -35,11 +40,32 @@ class Reference:
 
 def orphan_keys(child: DataFrame, ref: Reference) -> DataFrame:
     """Distinct child keys without a parent, in a column ``_orphan_key``."""
+    if ref.orphans is not None:
+        return ref.orphans
     keys = child.select(F.col(ref.child_col).alias("_orphan_key")).distinct()
     parents = ref.parent.select(F.col(ref.parent_col).alias("_parent_key"))
     return keys.join(parents, F.col("_orphan_key").eqNullSafe(F.col("_parent_key")), "left_anti")
 
 
+def shared_orphans(
+    children: Mapping[str, tuple[DataFrame, str]], parent: DataFrame, parent_col: str
+) -> DataFrame:
+    """(_orphan_key, held): keys without a parent, and the names of the children (name -> table and column) with them.
+
+    Children and parent are one tagged union, and one aggregate by key decides for all: one shuffle, whatever the
+    number of children. Tags are combined on the map side, so a hot key is a row per task.
+    """
+    names = list(children)
+    tables = [(df, column, 1 << i) for i, (df, column) in enumerate(children.values())]
+    tables.append((parent, parent_col, 1 << len(names)))
+    tagged = [df.select(F.col(column).alias("_orphan_key"), F.lit(tag).alias("_tags")) for df, column, tag in tables]
+    tags = reduce(DataFrame.unionByName, tagged).groupBy("_orphan_key").agg(F.bit_or("_tags").alias("_tags"))
+    held = F.array_compact(
+        F.array(*[F.when(F.col("_tags").bitwiseAND(1 << i) != 0, F.lit(name)) for i, name in enumerate(names)])
+    )
+    return tags.where(F.col("_tags") < 1 << len(names)).select("_orphan_key", held.alias("held"))
+
+
 def split_orphans(child: DataFrame, ref: Reference) -> tuple[DataFrame, DataFrame]:
     """Rows with a parent, and orphans with their reason."""
     orphans = orphan_keys(child, ref)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stallwise.functions.numeric import percent
@@ -97,15 +97,19 @@ def check_counts(tagged: DataFrame, check_name: str) -> DataFrame:
     return ordered_counts(tagged, [(check_name, F.size(VIOLATIONS) > 0)])
 
 
+def _step_counts(steps: Sequence[tuple[str, Column]]) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("_all"),
+        *[F.count(F.when(failed, 1)).alias(f"_f{i}") for i, (_, failed) in enumerate(steps)],
+    ]
+
+
 def ordered_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
     """Counts of successive checks from one aggregate; the total of each is what the earlier left.
 
     The conditions of the steps must exclude each other.
     """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_all"),
-        *[F.count(F.when(failed, 1)).alias(f"_f{i}") for i, (_, failed) in enumerate(steps)],
-    )
+    counts = df.agg(*_step_counts(steps))
     rows, left = [], F.col("_all")
     for i, (name, _) in enumerate(steps):
         rows.append(F.struct(F.lit(name).alias("check_name"), left.alias("total"), F.col(f"_f{i}").alias("failed")))
@@ -117,6 +121,24 @@ def ordered_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFr
     )
 
 
+def observed_counts(
+    df: DataFrame, steps: Sequence[tuple[str, Column]], write: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``write`` gives them back, and their ``ordered_counts``, taken while they were written.
+
+    ``write`` must compute df, once. Only the counts, a number for each step, come to the driver.
+    """
+    seen = Observation()
+    out = write(df.observe(seen, *_step_counts(steps)))
+    counts, rows = seen.get, []
+    left = counts["_all"]
+    for i, (name, _) in enumerate(steps):
+        rows.append((name, left, counts[f"_f{i}"]))
+        left -= counts[f"_f{i}"]
+    table = df.sparkSession.createDataFrame(rows, "check_name string, total bigint, failed bigint")
+    return out, table.withColumn("reliability_pct", reliability("total", "failed"))
+
+
 def violations_by_rule(tagged: DataFrame) -> DataFrame:
     """Rows per violated rule."""
     return (

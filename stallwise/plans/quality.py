@@ -17,6 +17,7 @@ from stallwise.operators.outliers import flag_outliers, outlier_limit
 from stallwise.operators.references import (
     FAILED_REFERENCE,
     Reference,
+    shared_orphans,
     tag_first_failure,
 )
 from stallwise.operators.report import verdicts
@@ -158,22 +159,41 @@ def _helpers(df: DataFrame) -> list[str]:
     return [c for c in (BAD_VALUES, POSITION) if c in df.columns]
 
 
+def _shared_orphans(
+    frames: Mapping[str, DataFrame],
+    parent: DataFrame,
+    entity: str,
+    keep: Callable[[DataFrame, str], DataFrame] | None,
+) -> dict[str, DataFrame]:
+    """Orphan keys by check, of all checks against the entity if there are several of one key column."""
+    checks = [(child, name, column, key) for child, name, column, of, key in REFERENCES if of == entity]
+    if len(checks) < 2 or len({key for *_, key in checks}) > 1:
+        return {}
+    children = {name: (frames[child], column) for child, name, column, _ in checks}
+    found = shared_orphans(children, parent, checks[0][3])
+    found = found if keep is None else keep(found, f"orphans_{entity}")
+    return {name: found.where(F.array_contains("held", name)).select("_orphan_key") for name in children}
+
+
 def run_quality(
     frames: Mapping[str, DataFrame],
     sets: Mapping[str, RuleSet] | None = None,
-    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
     outliers: Mapping[str, object] | None = None,
 ) -> QualityResult:
     """All checks, one tagged pass per entity, parents before children.
 
     A row fails its entity's rules first and then the references in order, so each check counts
-    and quarantines what the earlier ones left. ``keep`` may materialise a tagged entity: the file
-    run hands in a table writer, so that it is computed once and then read for the clean part, the
-    bad part, the counts and the children. Without it all but the outlier limit stays one lazy plan.
+    and quarantines what the earlier ones left. References to one parent and key are decided together,
+    by one shuffle of the keys of all children. ``keep`` writes a tagged entity and reads it back: the
+    file run hands in a table writer, so that it is computed once, counted while it is written, and
+    then read for the clean part, the bad part and the children. Without it all but the outlier limit
+    stays one lazy plan.
     """
     result = QualityResult()
     broken = F.size(r.VIOLATIONS) > 0
     limit = None
+    orphans: dict[str, DataFrame] = {}
     for entity, rule_set in (sets or rule_sets()).items():
         tagged = tag_entity(frames[entity], rule_set)
         if entity == "order_items":
@@ -182,17 +202,18 @@ def run_quality(
             above = math.inf if limit.upper_limit is None else limit.upper_limit
             tagged = flag_outliers(tagged, "price", limit=above)
         refs = [
-            Reference(name, column, result.clean[parent], parent_column)
+            Reference(name, column, result.clean[parent], parent_column, orphans.get(name))
             for child, name, column, parent, parent_column in REFERENCES
             if child == entity
         ]
-        tagged = keep(tag_first_failure(tagged, refs), f"tagged_{entity}")
+        tagged = tag_first_failure(tagged, refs)
         orphan = F.col(FAILED_REFERENCE)
-        result.checks.append(
-            r.ordered_counts(
-                tagged, [(rule_set.check_name, broken)] + [(f.name, ~broken & (orphan == f.name)) for f in refs]
-            )
-        )
+        steps = [(rule_set.check_name, broken)] + [(f.name, ~broken & (orphan == f.name)) for f in refs]
+        if keep is None:
+            counts = r.ordered_counts(tagged, steps)
+        else:
+            tagged, counts = r.observed_counts(tagged, steps, lambda df: keep(df, f"tagged_{entity}"))
+        result.checks.append(counts)
         lost = F.coalesce(*[F.when(orphan == f.name, F.lit(f.reason)) for f in refs], F.lit(None).cast("string"))
         result.clean[entity] = tagged.filter(~broken & orphan.isNull()).drop(r.VIOLATIONS, FAILED_REFERENCE)
         result.quarantine[entity] = (
@@ -201,6 +222,7 @@ def run_quality(
             .withColumn("check_name", F.when(broken, F.lit(rule_set.check_name)).otherwise(orphan))
             .drop(r.VIOLATIONS, FAILED_REFERENCE)
         )
+        orphans |= _shared_orphans(frames, result.clean[entity], entity, keep)
     result.audit = audits.audit(
         result.clean["orders"], result.clean["products"], result.clean["reviews"], result.clean["order_items"], limit
     )
