@@ -249,7 +249,7 @@ def dq_fence_comparison(spark, sf):
 
 def dq_audit(spark, sf):
     items = fx.flagged_items(spark, sf)
-    limit = outliers.outlier_limit(fx.items(spark, sf), "price", deviations=fx.PRICE_DEVIATIONS).first()
+    limit = outliers.limit_row(fx.items(spark, sf), "price", deviations=fx.PRICE_DEVIATIONS)
     return audit.audit(fx.orders(spark, sf), fx.products(spark, sf), fx.reviews(spark, sf), items, limit)
 
 

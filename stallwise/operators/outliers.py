@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallwise.functions.numeric import dbl, mean, sample_skewness
 from stallwise.operators.distribution import quantiles
@@ -19,20 +20,8 @@ def _ln(c):
     return F.ln(dbl(c))
 
 
-def outlier_limit(
-    df: DataFrame,
-    column: str = "price",
-    iqr_multiplier: float = 3.0,
-    deviations: float = 3.0,
-    min_rows: int = 8,
-    skew_limit: float = 1.0,
-) -> DataFrame:
-    """One row: n, skewness, method and upper limit.
-
-    Fewer than ``min_rows`` values: no limit. Skewed data with enough positive values: a fence of
-    ``iqr_multiplier`` quartile ranges on the logarithm. Otherwise mean plus ``deviations``.
-    The quartiles read rows only when the log branch applies.
-    """
+def _shape(df: DataFrame, column: str, min_rows: int, skew_limit: float) -> DataFrame:
+    """One row: n, n_positive, skewness, mean, std and the method they ask for."""
     shape = df.agg(
         F.count(column).alias("n"),
         F.count(F.when(F.col(column) > 0, 1)).alias("n_positive"),
@@ -45,11 +34,11 @@ def outlier_limit(
         .when((F.abs("skewness") > skew_limit) & (F.col("n_positive") >= min_rows), F.lit(LOG_FENCE))
         .otherwise(F.lit(Z_SCORE))
     )
-    shape = shape.withColumn("method", method)
-    use_log = shape.select(F.col("method") == LOG_FENCE).scalar()
-    positive = df.filter((F.col(column) > 0) & use_log)
-    quartiles = quantiles(positive, F.col(column), [0.25, 0.75], scale=_ln)
-    shape = shape.withColumn("q", quartiles.select(F.struct("q0", "q1")).scalar())
+    return shape.withColumn("method", method)
+
+
+def _limit(shape: DataFrame, iqr_multiplier: float, deviations: float) -> DataFrame:
+    """The limit from the shape and the quartiles ``q`` of the logarithm."""
     fence = F.exp(F.col("q.q1") + F.lit(float(iqr_multiplier)) * (F.col("q.q1") - F.col("q.q0")))
     limit = F.when(F.col("method") == LOG_FENCE, fence).when(
         F.col("method") == Z_SCORE, F.col("mean") + F.lit(float(deviations)) * F.col("std")
@@ -57,6 +46,47 @@ def outlier_limit(
     return shape.select("n", "skewness", "method", limit.alias("upper_limit"))
 
 
+def outlier_limit(
+    df: DataFrame,
+    column: str = "price",
+    iqr_multiplier: float = 3.0,
+    deviations: float = 3.0,
+    min_rows: int = 8,
+    skew_limit: float = 1.0,
+) -> DataFrame:
+    """One row: n, skewness, method and upper limit.
+
+    Fewer than ``min_rows`` values: no limit. Skewed data with enough positive values: a fence of
+    ``iqr_multiplier`` quartile ranges on the logarithm. Otherwise mean plus ``deviations``.
+    The quartiles read rows only when the log branch applies.
+    """
+    shape = _shape(df, column, min_rows, skew_limit)
+    use_log = shape.select(F.col("method") == LOG_FENCE).scalar()
+    positive = df.filter((F.col(column) > 0) & use_log)
+    quartiles = quantiles(positive, F.col(column), [0.25, 0.75], scale=_ln)
+    return _limit(shape.withColumn("q", quartiles.select(F.struct("q0", "q1")).scalar()), iqr_multiplier, deviations)
+
+
+def limit_row(
+    df: DataFrame,
+    column: str = "price",
+    iqr_multiplier: float = 3.0,
+    deviations: float = 3.0,
+    min_rows: int = 8,
+    skew_limit: float = 1.0,
+) -> Row:
+    """The row of ``outlier_limit``, read now: one pass, and the quartiles only if the log branch applies."""
+    spark, shape = df.sparkSession, _shape(df, column, min_rows, skew_limit)
+    row = shape.first()
+    quartiles = None
+    if row.method == LOG_FENCE:
+        quartiles = quantiles(df.filter(F.col(column) > 0), F.col(column), [0.25, 0.75], scale=_ln).first()
+    edges = T.StructType().add("q0", "double").add("q1", "double")
+    schema = T.StructType([*shape.schema.fields]).add("q", edges)
+    both = spark.createDataFrame([(*row, quartiles)], schema)
+    return _limit(both, iqr_multiplier, deviations).first()
+
+
 def flag_outliers(
     df: DataFrame,
     column: str = "price",

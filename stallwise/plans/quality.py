@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stallwise.functions.constants import BOLETO
 from stallwise.operators import audit as audits
 from stallwise.operators import rules as r
-from stallwise.operators.outliers import flag_outliers, outlier_limit
+from stallwise.operators.outliers import flag_outliers, limit_row
 from stallwise.operators.references import (
     FAILED_REFERENCE,
     Reference,
@@ -198,7 +198,7 @@ def run_quality(
         tagged = tag_entity(frames[entity], rule_set)
         if entity == "order_items":
             # One row, read now: the flag and the audit share it.
-            limit = outlier_limit(tagged.filter(~broken), "price", **(outliers or {})).first()
+            limit = limit_row(tagged.filter(~broken), "price", **(outliers or {}))
             above = math.inf if limit.upper_limit is None else limit.upper_limit
             tagged = flag_outliers(tagged, "price", limit=above)
         refs = [

@@ -76,3 +76,13 @@ def test_fence_comparison(spark):
     assert rows["linear"].upper_limit == pytest.approx(q3 + 3 * (q3 - q1))
     assert rows["linear"].flagged == int((a > q3 + 3 * (q3 - q1)).sum())
     assert rows["log"].flagged <= rows["linear"].flagged
+
+
+def test_row_read_now_is_that_of_the_plan(spark):
+    import random
+
+    rnd = random.Random(4)
+    skewed = [(round(rnd.lognormvariate(3, 1), 2),) for _ in range(300)] + [(None,), (-1.0,)]
+    for rows in (skewed, [(float(i),) for i in range(40)], [(1.0,)] * 5, []):
+        df = spark.createDataFrame(rows, "price double").withColumn("price", F.col("price").cast("decimal(18,2)"))
+        assert outliers.limit_row(df) == outliers.outlier_limit(df).first()

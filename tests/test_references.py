@@ -1,3 +1,4 @@
+from stallwise.operators import references
 from stallwise.operators.references import (
     Reference,
     cascade_counts,
@@ -51,3 +52,22 @@ def test_child_rows_meet_only_the_orphan_keys(spark):
     kept, _ = split_orphans(child(spark, [1, 2]), Reference("r", "fk", parent(spark, [1]), "id"))
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftAnti") == 2 and "Aggregate" in plan
+
+
+def test_one_shuffle_decides_for_all_children(spark):
+    parent = spark.createDataFrame([(1,), (2,), (None,)], "id int")
+    children = {
+        "a": (spark.createDataFrame([(1,), (7,), (7,), (None,)], "k int"), "k"),
+        "b": (spark.createDataFrame([(7,), (8,)], "order_id int"), "order_id"),
+        "c": (spark.createDataFrame([], "k int"), "k"),
+    }
+    found = references.shared_orphans(children, parent, "id")
+    assert sorted((r[0], r.held) for r in found.collect()) == [(7, ["a", "b"]), (8, ["b"])]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    without = references.shared_orphans(children, parent.where("id > 0"), "id")
+    assert [r.held for r in without.where("_orphan_key IS NULL").collect()] == [["a"]]
+    for name, (child, column) in children.items():
+        ref = references.Reference(name, column, parent, "id")
+        known = references.Reference(name, column, parent, "id", found.where(f"array_contains(held, '{name}')").select("_orphan_key"))
+        tagged = [sorted(map(str, references.tag_first_failure(child, [x]).collect())) for x in (ref, known)]
+        assert tagged[0] == tagged[1]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from stallwise.functions.numeric import no_nan
 from stallwise.operators import report, rules
 from stallwise.plans.quality import RuleSet, rule_sets, single_installment, tag_entity
+from stallwise.session import written
 
 
 def test_repeated_keys_leave_one_row_each(spark):
@@ -93,3 +94,12 @@ def test_rules_of_one_entity_take_one_scan(spark, sf):
     tagged = rules.tag(fixtures.payments(spark, sf), rule_sets("A")["payments"].rules)
     plan = rules.check_counts(tagged, "p")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_counts_observed_while_writing(spark):
+    for n in (0, 10):
+        df = spark.range(n)
+        steps = [("first", F.col("id") % 5 == 0), ("second", F.col("id") % 5 == 1)]
+        out, counts = rules.observed_counts(df, steps, lambda x: written(x, "observed"))
+        assert out.count() == n
+        assert counts.collect() == rules.ordered_counts(df, steps).collect()
