@@ -58,19 +58,23 @@ ORDER = {kind: i for i, kind in enumerate([*KINDS, PACKED])}
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#(\d{1,7});|&#[xX]([0-9A-Fa-f]{1,6});"
+    r"(?:\\u[0-9A-Fa-f]{4})+|(?:%u[0-9A-Fa-f]{4})+|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#(\d{1,7});"
+    r"|&#[xX]([0-9A-Fa-f]{1,6});|\\U([0-9A-Fa-f]{8})"
 )
 #: Ten bytes at least: the shortest packed form of a secret (32 equal hex digits); plain ones have 14 or more.
 LEAST_RUN = 14
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{14,}")
 #: A run over line breaks: what stands at a line's end, whole lines, and what stands at a line's start.
-_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+(?:[\x20\t]*\r?\n[\x20\t>]*[A-Za-z0-9+/_-]+)+")
+#: It begins at a run's first character and never gives one back, so each character is looked at once.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t>]*+[A-Za-z0-9+/_-]++)++")
 _CHARACTERS = re.compile(r"[A-Za-z0-9+/_-]+")
 #: Printable UTF-8 among other bytes.
 _PRINTED = re.compile(
     rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
     rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){10,}"
 )
+#: Printable UTF-16 of either byte order, code points up to 255.
+_WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e\xa0-\xff]\x00){9,}[\t\n\r\x20-\x7e\xa0-\xff]")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 _URL_SAFE = str.maketrans("-_", "+/")
 
@@ -139,11 +143,11 @@ def _url(m: re.Match) -> str | None:
 
 
 def _unicode(m: re.Match) -> str | None:
-    number = m[1] or m[2] or m[4]
+    number = m[1] or m[2] or m[4] or m[5]
     if m[3] is not None or number is not None:
         code = int(m[3]) if m[3] is not None else int(number, 16)
         return chr(code) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else None
-    units = bytes.fromhex(m[0].replace("\\u", ""))
+    units = bytes.fromhex(m[0].replace("\\u", "").replace("%u", ""))
     try:
         return units.decode("utf-16-be")
     except UnicodeDecodeError:
@@ -215,6 +219,18 @@ def _text_of(data: bytes) -> str | None:
     return text if text and printable >= 0.95 * len(text) else None
 
 
+def _strings(data: bytes) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Printable stretches of the data, with the bytes at which each character begins and ends."""
+    for m in _PRINTED.finditer(data):
+        text = m[0].decode("utf-8")
+        sizes = np.array([len(c.encode("utf-8")) for c in text])
+        stop = np.cumsum(sizes) + m.start()
+        yield text, stop - sizes, stop
+    for m in _WIDE.finditer(data) if b"\0" in data else ():
+        begin = np.arange(m.start(), m.end(), 2)
+        yield m[0][::2].decode("latin-1"), begin, begin + 1
+
+
 def _innermost(data: bytes) -> tuple[bytes, bool]:
     """Data decompressed as often as it was compressed, and whether it was."""
     packed = False
@@ -236,10 +252,8 @@ def _from_base64(layer: Layer, places: np.ndarray) -> tuple[list[Layer], list[tu
     )
     characters = characters.translate(_URL_SAFE)
 
-    def plain(text: str, shift: int, at: int) -> Layer:
-        sizes = np.array([len(c.encode("utf-8")) for c in text])
-        stop = np.cumsum(sizes) + at
-        first = shift + (stop - sizes) * 8 // 6
+    def plain(text: str, shift: int, begin: np.ndarray, stop: np.ndarray) -> Layer:
+        first = shift + begin * 8 // 6
         last = shift + (stop * 8 + 5) // 6 - 1
         return Layer(text, start[first], end[last])
 
@@ -261,10 +275,14 @@ def _from_base64(layer: Layer, places: np.ndarray) -> tuple[list[Layer], list[tu
             return [], [(int(start[shift:].min()), int(end[shift:].max()))]
         text = _text_of(inner)
         if text is not None:
-            return [packed_text(text, shift) if packed else plain(text, shift, 0)], []
+            if packed:
+                return [packed_text(text, shift)], []
+            sizes = np.array([len(c.encode("utf-8")) for c in text])
+            stop = np.cumsum(sizes)
+            return [plain(text, shift, stop - sizes, stop)], []
     out, large = [], []
     for shift, data in phases:
-        out += [plain(m[0].decode("utf-8"), shift, m.start()) for m in _PRINTED.finditer(data)]
+        out += [plain(string, shift, begin, stop) for string, begin, stop in _strings(data)]
         at = 0
         while m := _MAGIC.search(data, at):
             at = m.start() + 1
@@ -276,7 +294,7 @@ def _from_base64(layer: Layer, places: np.ndarray) -> tuple[list[Layer], list[tu
                 break
             if packed:
                 text = _text_of(inner)
-                texts = [text] if text is not None else [x[0].decode("utf-8") for x in _PRINTED.finditer(inner)]
+                texts = [text] if text is not None else [x[0] for x in _strings(inner)]
                 out += [packed_text(t, first) for t in texts]
     return out, large
 
@@ -300,7 +318,7 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
         inner = []
         if "%" in layer.text:
             inner.append(_replaced(layer, _URL, _url))
-        if "\\" in layer.text or "&#" in layer.text:
+        if "\\" in layer.text or "&#" in layer.text or "%u" in layer.text:
             inner.append(_replaced(layer, _UNICODE, _unicode))
         for places in _runs(layer.text):
             decoded, large = _from_base64(layer, places)

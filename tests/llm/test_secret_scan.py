@@ -5,6 +5,7 @@ import hashlib
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -126,3 +127,26 @@ def test_wrapped_glued_short_and_joined_runs():
     for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
         members = pack(b"first member, nothing in it ") + pack(key.encode())
         assert kinds(base64.b64encode(members).decode()) == {"assign"}, pack
+
+
+def test_a_megabyte_of_base64_after_a_line_break():
+    rnd = random.Random(9)
+    run = base64.b64encode(rnd.randbytes(700_000) + f" {SECRET} ".encode() + rnd.randbytes(50_000)).decode()
+    for text in (f"intro line .\n{run}", f"{run[:400_000]}\n{run[400_000:]}\nEnd"):
+        began = time.process_time()
+        assert {k for k, _, _ in ss.scan(text)[1]} == {"assign"}
+        assert time.process_time() - began < 5
+    began = time.process_time()
+    assert ss.scan(("word " * 20 + "\n") * 10_000 + "x" * 1_000_000 + "\n=")[0] == []
+    assert time.process_time() - began < 5
+
+
+def test_other_unicode_layers():
+    for escaped in ("".join(f"%u{ord(c):04X}" for c in KEY), "".join(f"\\U{ord(c):08x}" for c in KEY)):
+        assert spans_of(f"- {escaped} -") == f"access:2:{2 + len(escaped)}"
+    assert ss.scan("\\U00110000 \\Uffffffff %u12 %ud800")[1] == []
+    for coding in ("utf-16-le", "utf-16-be", "utf-16"):
+        run = b64(f"é key {SECRET} und".encode(coding))
+        ((kind, a, b),) = ss.scan(f"- {run} -")[1]
+        assert kind == "assign" and 2 < a < b < 2 + len(run)
+        assert {k for k, _, _ in ss.scan("x/" + b64(gzip.compress(SECRET.encode(coding))))[1]} == {"assign"}
