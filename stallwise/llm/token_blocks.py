@@ -20,7 +20,9 @@ only the shards' totals (one row per partition) are summed up in one place.
 
 Encoding: byte-level BPE splits texts before it merges, always before a space that a non-space follows. So texts
 are cut there, and of some million characters at a time each distinct piece goes through the tokenizer once.
-Tokenizers of any other kind encode whole texts.
+Tokenizers of any other kind encode whole texts. The strings of added tokens, such as ``<|endoftext|>``, are read as
+these tokens, as the library does; with ``special_as_text`` those of special tokens are ordinary text, so a document
+can't hold an end of its own.
 
 Null texts count as empty and hold the end id only. Repeated rows and ids stay, by text; null ids come first. An
 empty table gives no blocks.
@@ -127,14 +129,17 @@ def _gathered(ids: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> tupl
 
 @dataclass(frozen=True)
 class Definition:
-    """A tokenizer as tasks get it: its JSON, whether texts may be cut into pieces, and the ids that begin with a space."""
+    """A tokenizer as tasks get it: its JSON, whether texts may be cut into pieces, the ids that begin with a space,
+    and the ids of added tokens that texts are cut around."""
 
     json: str
     by_pieces: bool
     spaced: np.ndarray
+    special_as_text: bool
+    added: dict[str, int]
 
 
-def defined(tokenizer: str) -> Definition:
+def defined(tokenizer: str, special_as_text: bool = False) -> Definition:
     spec = json.loads(tokenizer)
     before = spec.get("pre_tokenizer") or {}
     by_pieces = (
@@ -142,34 +147,42 @@ def defined(tokenizer: str) -> Definition:
         and before.get("use_regex", True)
         and not before.get("add_prefix_space")
         and not spec.get("normalizer")
-        and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+        and not any(
+            re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]
+        )
     )
     vocabulary = spec["model"].get("vocab") if by_pieces else {}
     spaced = np.zeros(max([0, *vocabulary.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, dtype=bool)
     spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
-    return Definition(tokenizer, by_pieces, spaced)
+    added = {t["content"]: t["id"] for t in spec["added_tokens"] if not (special_as_text and t["special"])}
+    return Definition(tokenizer, by_pieces, spaced, special_as_text, added)
 
 
 class Encoder:
-    """Ids of whole texts, as the tokenizer gives them without special tokens."""
+    """Ids of whole texts, as the tokenizer gives them when it adds no special tokens."""
 
     def __init__(self, definition: Definition) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition.json)
-        # The strings of special tokens are ordinary text in a document.
-        self.tokenizer.encode_special_tokens = True
-        self.by_pieces, self.spaced = definition.by_pieces, definition.spaced
+        self.tokenizer.encode_special_tokens = definition.special_as_text
+        self._take(definition)
+
+    def _take(self, definition: Definition) -> None:
+        self.by_pieces, self.spaced, self.added = definition.by_pieces, definition.spaced, definition.added
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if longest_first else None
 
     @classmethod
     def of_worker(cls, definition: Definition) -> Encoder:
         """One tokenizer for all tasks that a Python worker runs: reading its vocabulary takes time and memory."""
         kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT))
-        key = zlib.crc32(definition.json.encode()), len(definition.json)
+        key = zlib.crc32(definition.json.encode()), len(definition.json), definition.special_as_text
         if getattr(kept, "key", None) != key:
             kept.key, kept.tokenizer = key, cls(definition).tokenizer
         out = cls.__new__(cls)
-        out.tokenizer, out.by_pieces, out.spaced = kept.tokenizer, definition.by_pieces, definition.spaced
+        out.tokenizer = kept.tokenizer
+        out._take(definition)
         return out
 
     def _plain(self, text: str) -> np.ndarray:
@@ -224,6 +237,21 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
             return [self._plain(t) for t in texts]
+        if self.marks is None or not any(map(self.marks.search, texts)):
+            return self._by_pieces(texts)
+        # An added token ends what stands before it as a text's end does.
+        cut = [self.marks.split(t) for t in texts]
+        between = iter(self._by_pieces([part for parts in cut for part in parts[::2]]))
+        out = []
+        for parts in cut:
+            ids = [next(between)]
+            for token in parts[1::2]:
+                ids += [np.array([self.added[token]], dtype=np.uint32), next(between)]
+            out.append(np.concatenate(ids) if len(ids) > 1 else ids[0])
+        return out
+
+    def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without added tokens."""
         # Texts whose every space is a cut are split together, the others one by one.
         glued = [bool(_GLUED.search(t)) for t in texts]
         split = pc.split_pattern(pa.array([None if g else t for t, g in zip(texts, glued, strict=True)], pa.string()), " ")
@@ -264,14 +292,21 @@ def _together(texts: Iterator) -> Iterator[list]:
         yield held
 
 
-def blocks_of(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of docs (doc_id, text); tokenizer: its JSON; end_id: appended to each document (None: nothing is)."""
+def blocks_of(
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int | None = END_ID,
+    block_ids: int = BLOCK_IDS,
+    special_as_text: bool = False,
+) -> DataFrame:
+    """Blocks of docs (doc_id, text); tokenizer: its JSON; end_id: appended to each document (None: nothing is);
+    special_as_text: the strings of special tokens are spelled out."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     types = (
         f"shard int, block int, first long, n_ids long, words binary, escapes binary, "
         f"doc_ids array<{kind}>, offsets array<long>"
     )
-    definition = defined(tokenizer)
+    definition = defined(tokenizer, special_as_text)
     end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

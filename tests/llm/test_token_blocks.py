@@ -7,15 +7,19 @@ import pytest
 from stallwise.llm import token_blocks as tb
 
 
-@pytest.fixture(scope="module")
-def plain():
+def library(special_as_text=False):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tb.tokenizer_json())
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_as_text
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def plain():
+    return library()
+
+
 @pytest.mark.parametrize("top", [0, 1, 2, 100, 50257, 2**31, 2**60 - 1, 2**64 - 1])
 def test_pack_and_back(top):
     rnd = random.Random(top)
@@ -41,13 +45,16 @@ TEXTS = [
 ]
 
 
-def test_pieces_equal_the_tokenizer(plain, monkeypatch):
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_pieces_equal_the_tokenizer(special_as_text, monkeypatch):
+    plain = library(special_as_text)
     monkeypatch.setattr(tb, "_STRETCH", 97)
     rnd = random.Random(3)
     bits = [" ", "  ", "\n", "\t", "ab", "Cd's", "12", "…", "é", "'", " ", "🙂", "the", "<|endoftext|>", "Ġ", "\x1f"]
     texts = TEXTS + ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 200))) for _ in range(400)]
-    encoder = tb.Encoder(tb.defined(tb.tokenizer_json()))
+    encoder = tb.Encoder(tb.defined(tb.tokenizer_json(), special_as_text))
     assert encoder.by_pieces
+    assert (50256 in encoder.encode(["hello <|endoftext|> world"])[0]) != special_as_text
     for at in range(0, len(texts), 37):
         some = texts[at : at + 37]
         assert [x.tolist() for x in encoder.encode(some)] == [plain(t) for t in some]
