@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import decontamination, language_id, near_copies, source_mix, token_blocks
+from stallwise.llm import decontamination, language_id, simhash_near, source_mix, token_blocks
 from stallwise.llm.common import saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: a Jaccard similarity of five-word shingles of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group of linked fingerprints: three-word shingles, three bits or fewer."""
+    return simhash_near.keep_one(docs, simhash_near.SHINGLE, simhash_near.RADIUS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +36,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token blocks of the mix: rows of the binary format, which ``token_blocks.documents_of`` reads back."""
-    return token_blocks.blocks_of(docs, token_blocks.tokenizer_json())
+    """Token blocks of the mix, strings of special tokens spelled out: rows of the binary format, which ``token_blocks.documents_of`` reads back."""
+    return token_blocks.blocks_of(docs, token_blocks.tokenizer_json(), special_as_text=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", identify_language),
-    ("near_copies", drop_near_copies),
+    ("simhash_near_dedup", drop_near_copies),
     ("decontamination", drop_leaks),
     ("source_mix", mix_sources),
     ("token_blocks", write_tokens),
