@@ -34,16 +34,13 @@ SEGMENTS = 32
 _AT_ONCE = 1 << 15
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, distinct: bool = False) -> int:
-    """Fingerprint of a text as an unsigned 64-bit number; distinct: each shingle votes once."""
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Fingerprint of a text as an unsigned 64-bit number."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
     if len(words) < shingle:
         words, shingle = [b" ".join(words)], 1
-    if distinct:
-        words = list(set(zip(*(words[k:] for k in range(shingle)), strict=False)))
-        words, shingle = [b" ".join(w) for w in words], 1
     digest, n = xxhash.xxh64_intdigest, len(words) - shingle + 1
     votes = np.zeros(64, dtype=np.int64)
     for at in range(0, n, _AT_ONCE):
@@ -54,12 +51,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, distinct: bool = False
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, distinct: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_hash, fp) of every row of docs (doc_id, text); fp holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t.as_py(), shingle, distinct) for t in batch.column(2)]
+            values = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
             fp = np.array(values, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(fp)], names=["doc_id", "text_hash", "fp"]
@@ -111,12 +108,12 @@ def near_pairs(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return both.select("a", "b")
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, distinct: bool = False) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, text_hash, fp, root, component_id) of every row: the group's smallest doc_id.
 
     root marks the group; component_id is its smallest doc_id.
     """
-    fps = saved(fingerprints(docs, shingle, distinct), "fingerprints")
+    fps = saved(fingerprints(docs, shingle), "fingerprints")
     firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = components(near_pairs(fps.select("fp").distinct(), radius))
     linked = found.join(firsts, found.node == firsts.fp).select("node", "component", "first")
@@ -131,10 +128,10 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, d
     return fps.join(saved(groups, "near-groups"), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, distinct: bool = False) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """docs with one row of each near-duplicate group: the smallest doc_id (ties: the smallest text hash; equal
     rows: any one of them). A group with null ids only keeps a row, too."""
-    groups = near_groups(docs, shingle, radius, distinct)
+    groups = near_groups(docs, shingle, radius)
     kept = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("k"))
     key, mark = fresh(docs, "kept_id", "kept_hash")
     kept = kept.select(F.col("k.doc_id").alias(key), F.col("k.text_hash").alias(mark)).distinct()
