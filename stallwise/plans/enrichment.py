@@ -31,6 +31,8 @@ from stallwise.sources.schemas import BATCH_REPLY, CLASSIFICATION
 TEXT = "review_comment_message"
 FIELDS = CLASSIFICATION.fieldNames()
 ENRICHED_TABLE = "fact_reviews_classified"
+ANSWERS_TABLE = "review_answers"
+WAVES = 8
 
 
 def eligible(fact_orders: DataFrame) -> DataFrame:
@@ -219,6 +221,36 @@ def classify_lots(
     return source.mapInPandas(run, schema=CLASSIFICATION)
 
 
+def classify_missing(
+    reviews: DataFrame, batch_function: BatchFunction, base: str, waves: int = WAVES, **options
+) -> DataFrame:
+    """``classify_lots`` that keeps its answers: a table below ``base`` holds a row per answered order, and only orders
+    without one are sent. One row per order: its answer, or the fallback row until a later run has one.
+
+    Orders are dealt into waves by a hash of their id; each wave's answers are written before the next is sent, so a
+    run that stops loses one wave at most. What the result's reader does afterwards calls nothing. A failed lot leaves
+    no answer and is sent again by the next run. Of several texts of an order the smallest is sent; a null order_id
+    is sent by every run.
+    """
+    spark, path = reviews.sparkSession, f"{base}/{ANSWERS_TABLE}"
+    texts = reviews.groupBy(F.col("order_id").cast("string").alias("order_id")).agg(F.min(TEXT).alias(TEXT))
+    spark.createDataFrame([], CLASSIFICATION).write.mode("append").parquet(path)
+    failed = (F.col("category") == UNCLASSIFIED) & (F.col("reason") == FALLBACK_REASON)
+
+    def answers() -> DataFrame:
+        return spark.read.schema(CLASSIFICATION).parquet(path)
+
+    for wave in range(waves):
+        due = texts.where(F.pmod(F.xxhash64("order_id"), F.lit(waves)) == wave)
+        due = due.join(answers().select("order_id"), "order_id", "left_anti")
+        classify_lots(due, batch_function, **options).where(~failed).write.mode("append").parquet(path)
+    # Two runs at a time may both have answered an order.
+    known = keep_last(answers(), ["order_id"], [F.col(c).asc() for c in FIELDS if c != "order_id"])
+    words = {k: v for k, v in options.items() if k in ("deadline_words", "product_words")}
+    rest = fallback_rows(texts.join(known.select("order_id"), "order_id", "left_anti"), **words)
+    return known.join(texts.select("order_id"), "order_id", "left_semi").select(*FIELDS).unionByName(rest)
+
+
 def failure_share(classified: DataFrame) -> DataFrame:
     """Rows, unclassified rows and their percentage."""
     failed = F.count(F.when(F.col("category") == UNCLASSIFIED, 1))

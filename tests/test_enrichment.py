@@ -1,5 +1,6 @@
 import json
 import sys
+import uuid
 from collections import Counter
 
 import pytest
@@ -73,6 +74,41 @@ def test_failing_lot_does_not_touch_the_others(spark):
     assert (row.total, row.unclassified, row.unclassified_pct) == (12, 4, 33.3)
 
 
+def test_a_rerun_sends_only_what_is_missing(spark, tmp_path):
+    df = texts(spark, [(f"o{i:03d}", "o PRAZO" if i == 5 else "t") for i in range(100)]).repartition(3)
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def model(broken):
+        def call(lot):
+            (calls / uuid.uuid4().hex).write_text(" ".join(lot["order_id"]))
+            if broken & set(lot["order_id"]):
+                raise RuntimeError("call failed")
+            return [answer(k) for k in lot["order_id"]]
+
+        return call
+
+    def sent():
+        files = list(calls.iterdir())
+        out = sorted(k for f in files for k in f.read_text().split())
+        for f in files:
+            f.write_text("")
+        return out
+
+    first = e.classify_missing(df, model({"o005"}), str(tmp_path), waves=4, lot_size=5)
+    assert sent() == sorted(by_key(df))
+    got = by_key(first)
+    failed = sorted(k for k, r in got.items() if r.category == UNCLASSIFIED)
+    assert len(got) == 100 and "o005" in failed and len(failed) <= 5 and got["o005"].about_deadline
+    assert first.count() == 100 and sent() == []  # a second action calls nothing
+    second = e.classify_missing(df.union(texts(spark, [("new", "t")])), model(set()), str(tmp_path), waves=3)
+    assert sent() == sorted([*failed, "new"])
+    assert {r.category for r in second.collect()} == {"ok"} and second.count() == 101
+    part = e.classify_missing(df.where("order_id < 'o010'"), model(set()), str(tmp_path))
+    assert part.count() == 10 and sent() == []
+    assert e.classify_missing(df.limit(0), model(set()), str(tmp_path / "none")).count() == 0
+
+
 def test_lots_keep_their_size_over_batches(spark):
     df = texts(spark, [(f"o{i}", "t") for i in range(1203)]).coalesce(1)
     sizes = e.classify_lots(df, lambda lot: [answer(k, str(len(lot))) for k in lot["order_id"]])
