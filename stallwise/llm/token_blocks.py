@@ -55,7 +55,7 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.
 BITS = (60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 #: Characters of a text cut at a time, and characters encoded together.
 _STRETCH = 1 << 20
-_TOGETHER = 1 << 23
+TOGETHER = 1 << 23
 #: Where a Python worker keeps its tokenizer between tasks.
 _KEPT = "stallwise_worker_tokenizer"
 _CUT = re.compile(r" (?=\S)")
@@ -279,13 +279,13 @@ class Encoder:
         return out
 
 
-def _together(texts: Iterator) -> Iterator[list]:
-    """(id, text) pairs in lists of about _TOGETHER characters."""
+def _together(texts: Iterator, most: int) -> Iterator[list]:
+    """(id, text) pairs in lists of about so many characters."""
     held, chars = [], 0
     for pair in texts:
         held.append(pair)
         chars += len(pair[1])
-        if chars >= _TOGETHER:
+        if chars >= most:
             yield held
             held, chars = [], 0
     if held:
@@ -298,9 +298,11 @@ def blocks_of(
     end_id: int | None = END_ID,
     block_ids: int = BLOCK_IDS,
     special_as_text: bool = False,
+    together: int = TOGETHER,
 ) -> DataFrame:
     """Blocks of docs (doc_id, text); tokenizer: its JSON; end_id: appended to each document (None: nothing is);
-    special_as_text: the strings of special tokens are spelled out."""
+    special_as_text: the strings of special tokens are spelled out; together: characters whose distinct pieces are
+    encoded once (fewer: less memory of a task, more work; the ids are the same)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     types = (
         f"shard int, block int, first long, n_ids long, words binary, escapes binary, "
@@ -335,7 +337,7 @@ def blocks_of(
         for batch in batches:
             id_type = batch.column(0).type
             pairs = ((i.as_py(), t.as_py() or "") for i, t in zip(batch.column(0), batch.column(1), strict=True))
-            for some in _together(pairs):
+            for some in _together(pairs, together):
                 pa.default_memory_pool().release_unused()
                 for (doc_id, _), ids in zip(some, encoder.encode([t for _, t in some]), strict=True):
                     names.append(doc_id)
