@@ -13,6 +13,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Words of a block of the mix: documents are cut at the ends of blocks only.
 BLOCK_WORDS = 256
+#: Characters whose distinct pieces are encoded once: workers hold the earlier stages' models, too.
+ENCODED = 1 << 21
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token blocks of the mix, strings of special tokens spelled out: rows of the binary format, which ``token_blocks.documents_of`` reads back."""
-    return token_blocks.blocks_of(docs, token_blocks.tokenizer_json(), special_as_text=True)
+    return token_blocks.blocks_of(docs, token_blocks.tokenizer_json(), special_as_text=True, together=ENCODED)
 
 
 STAGES: list[tuple[str, Stage]] = [
