@@ -133,11 +133,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     rows: any one of them). A group with null ids only keeps a row, too."""
     groups = near_groups(docs, shingle, radius)
     kept = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("k"))
-    key, mark = fresh(docs, "kept_id", "kept_hash")
-    kept = kept.select(F.col("k.doc_id").alias(key), F.col("k.text_hash").alias(mark)).distinct()
-    marked = docs.withColumn(mark, F.xxhash64(docs["text"]))
-    rows = marked.join(kept, marked["doc_id"].eqNullSafe(kept[key]) & (marked[mark] == kept[mark]), "left_semi")
-    return rows.dropDuplicates(["doc_id", mark]).drop(mark)
+    # The same columns, none of them null, for the join and for equal rows: the texts are shuffled once.
+    names = fresh(docs, "kept_none", "kept_id", "kept_hash")
+
+    def keys(doc_id: Column, text_hash: Column) -> dict[str, Column]:
+        return dict(zip(names, (doc_id.isNull(), F.coalesce(doc_id.cast("string"), F.lit("")), text_hash), strict=True))
+
+    kept = kept.select(*[c.alias(n) for n, c in keys(F.col("k.doc_id"), F.col("k.text_hash")).items()]).distinct()
+    marked = docs.withColumns(keys(docs["doc_id"], F.xxhash64(docs["text"])))
+    return marked.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
