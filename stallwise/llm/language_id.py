@@ -6,11 +6,12 @@ word's end, after the four symbols before it (a word begins with padding).
 Learning: every training document counts. Each task counts words, turns them into five-symbol grams with counts,
 and Spark adds those up per (language, gram). Lower orders count distinct continuations, those at the beginning
 of a word occurrences, all with one discount per order and language. The table of grams is a model, not the
-corpus: it grows with the variety of five-letter sequences. ``MAX_GRAMS`` bounds it: beyond it, the rarest grams
-are left to the lower orders, by the lowest count that fits.
+corpus: it grows with the variety of five-letter sequences. No gram is left out.
 
-Model: sorted arrays of 64-bit gram hashes with a log probability per language, and sorted arrays of context
-hashes with the weight of the lower order. It is broadcast; its size is bounded by MAX_GRAMS.
+Model of up to ``IN_MEMORY`` grams: sorted arrays of 64-bit gram hashes with a log probability per language, and
+sorted arrays of context hashes with the weight of the lower order, broadcast. Of more: the same numbers as tables
+on the cluster (``TableModel``), made by aggregates and joins; texts are scored by joins of their distinct words
+with them, and nothing of the model's size comes to the driver or to a task. Both give the same probabilities.
 
 Deciding: the language with the lowest cross-entropy per symbol. The score says how far the others are behind,
 0 to 1. A document is accepted if its cross-entropy is not too far above what documents of that language, which
@@ -30,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,8 @@ from pyspark.sql.functions import arrow_udf
 from stallwise.llm.common import fresh, saved, table
 
 ORDER = 5
-MAX_GRAMS = 2_000_000
+#: Grams of a model that each worker holds in memory; a larger one stays in tables.
+IN_MEMORY = 2_000_000
 FOLDS = 5
 ACCEPTED = 0.999
 SLACK = 2.0
@@ -324,7 +327,7 @@ class _Scorer:
         return loss, symbols
 
 
-def _decided(model: Model, loss: np.ndarray, symbols: np.ndarray) -> pd.DataFrame:
+def _decided(model: Model | TableModel, loss: np.ndarray, symbols: np.ndarray) -> pd.DataFrame:
     has = (symbols > 0) & bool(model.languages)
     n = np.maximum(symbols, 1)
     entropy = loss / n[:, None] if model.languages else np.zeros((len(n), 1))
@@ -367,24 +370,163 @@ def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
     return run(text)
 
 
+@dataclass
+class TableModel:
+    """A model as a table: (key, log_p, back), ``key`` a gram of any order or a context.
+
+    ``log_p`` and ``back`` have a place per language, null where the language did not see the gram or context.
+    """
+
+    languages: list[str]
+    order: int
+    table: DataFrame
+    floor: float
+    mean: np.ndarray | None = None
+    spread: np.ndarray | None = None
+    limit: np.ndarray | None = None
+
+    def calibrated(self, mean: np.ndarray, spread: np.ndarray, limit: np.ndarray) -> TableModel:
+        return replace(self, mean=mean, spread=spread, limit=limit)
+
+    def losses(self, words: DataFrame) -> DataFrame:
+        """(word, loss): nats that each language spends on each word of the table (word), without repeats."""
+        order = self.order
+        whole = F.concat(F.lit(_PAD * (order - 1)), "word", F.lit(_END))
+        grams = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(whole, i, F.lit(order)))
+        uses = saved(words.select("word", F.explode(grams).alias("gram")), "word-grams")
+        # What a gram may need: its ends as grams, and as contexts of its last symbol.
+        keys = [F.substring("gram", order - k + 1, k) for k in range(1, order + 1)]
+        keys += [F.substring("gram", order - k, k) for k in range(order)]
+        needs = uses.select("gram").distinct().select("gram", F.posexplode(F.array(*keys)).alias("slot", "key"))
+        # A gram without any of them still gets the floor: the empty context is in every model.
+        met = needs.join(self.table, "key").select(
+            "gram", F.struct("slot", F.when(F.col("slot") < order, F.col("log_p")).otherwise(F.col("back")).alias("v")).alias("e")
+        )
+        found = met.groupBy("gram").agg(F.map_from_entries(F.collect_list("e")).alias("found"))
+        at = lambda slot, i: F.get(F.col("found")[F.lit(slot)], i)
+
+        def log_p(i: Column) -> Column:
+            out = F.lit(self.floor)
+            for k in range(1, order + 1):
+                out = F.coalesce(at(k - 1, i).cast("double"), F.coalesce(at(order + k - 1, i).cast("double"), F.lit(0.0)) + out)
+            return out
+
+        places = range(len(self.languages))
+        costs = found.select("gram", *[(-log_p(F.lit(i))).alias(f"cost_{i}") for i in places])
+        sums = uses.join(costs, "gram").groupBy("word").agg(*[F.sum(f"cost_{i}").alias(f"cost_{i}") for i in places])
+        return sums.select("word", F.array(*[F.col(f"cost_{i}") for i in places]).alias("loss"))
+
+
+def tables_of(counts: DataFrame, order: int = ORDER) -> TableModel:
+    """The model of (lang, gram, n) rows, as ``model_of`` makes it, by aggregates and joins."""
+    level = counts.select("lang", "gram", F.col("n").alias("raw"), F.col("n").alias("counted"))
+    levels = [saved(level, "grams-of-order")]
+    for k in range(order - 1, 0, -1):
+        shorter = levels[-1].groupBy("lang", F.substring("gram", 2, k).alias("gram"))
+        shorter = shorter.agg(F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("kinds"))
+        begins = F.substring("gram", 1, 1) == _PAD
+        counted = F.when(begins, F.col("raw")).otherwise(F.col("kinds")).alias("counted")
+        levels.append(saved(shorter.select("lang", "gram", "raw", counted), "grams-of-order"))
+    # One row per language.
+    languages = sorted(r.lang for r in levels[-1].select("lang").distinct().collect())
+    floor = -float(np.log(levels[-1].select("gram").distinct().count() + 1))
+    lower, parts = None, []
+    for k, level in enumerate(reversed(levels), 1):
+        ones, twos = F.count(F.when(F.col("counted") == 1, 1)), F.count(F.when(F.col("counted") == 2, 1))
+        discount = F.when(ones > 0, ones / F.greatest(ones + 2 * twos, F.lit(1))).otherwise(0.5).alias("discount")
+        discounts = level.groupBy("lang").agg(discount)
+        context = F.substring("gram", 1, k - 1)
+        contexts = level.groupBy("lang", context.alias("context"))
+        contexts = contexts.agg(F.sum("counted").alias("total"), F.count(F.lit(1)).alias("kinds")).join(discounts, "lang")
+        gamma = F.col("discount") * F.col("kinds") / F.col("total")
+        contexts = saved(contexts.select("lang", "context", "total", "discount", gamma.alias("gamma")), "contexts-of-order")
+        rows = level.withColumn("context", context).join(contexts, ["lang", "context"])
+        below = F.exp(F.lit(floor))
+        if lower is not None:
+            rows = rows.withColumn("shorter", F.substring("gram", 2, k)).join(
+                lower.select("lang", F.col("gram").alias("shorter"), F.col("p").alias("below")), ["lang", "shorter"]
+            )
+            below = F.col("below")
+        share = F.greatest(F.col("counted") - F.col("discount"), F.lit(0.0)) / F.col("total")
+        lower = saved(rows.select("lang", "gram", (share + F.col("gamma") * below).alias("p")), "probabilities")
+        nothing = F.lit(None).cast("float")
+        parts.append(lower.select("lang", F.col("gram").alias("key"), F.log("p").cast("float").alias("log_p"), nothing.alias("back")))
+        parts.append(contexts.select("lang", F.col("context").alias("key"), nothing.alias("log_p"), F.log("gamma").cast("float").alias("back")))
+    by_language = lambda name: F.array(*[F.max(F.when(F.col("lang") == x, F.col(name))) for x in languages]).alias(name)
+    whole = reduce(DataFrame.unionByName, parts).groupBy("key").agg(by_language("log_p"), by_language("back"))
+    return TableModel(languages, order, saved(whole, "language-model"), floor)
+
+
+def _text_words(docs: DataFrame) -> DataFrame:
+    """(key, word, n): words of each distinct text; ``key`` is the text's SHA-256."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py() or ""
+                if not any(map(str.isalpha, text)):
+                    continue
+                counter = Counter(w for words in _words(text) for w in words)
+                yield pa.RecordBatch.from_pydict({"key": [key] * len(counter), "word": list(counter), "n": list(counter.values())})
+
+    rows = docs.select(F.sha2("text", 256).alias("key"), "text").where("text IS NOT NULL")
+    # Equal texts have equal counts.
+    return rows.mapInArrow(run, "key string, word string, n long").groupBy("key", "word").agg(F.max("n").alias("n"))
+
+
+def marked(docs: DataFrame, model: Model | TableModel, name: str) -> DataFrame:
+    """docs (text) with a column of that name: what ``predicted`` gives for the text."""
+    if isinstance(model, Model):
+        return docs.withColumn(name, predicted(docs.sparkSession, model, docs["text"]))
+    words = saved(_text_words(docs), "text-words")
+    costs = saved(model.losses(words.select("word").distinct()), "word-losses")
+    places = range(len(model.languages))
+    sums = words.join(costs, "word").groupBy("key").agg(
+        F.array(*[F.sum(F.get("loss", F.lit(i)) * F.col("n")) for i in places]).alias("loss"),
+        F.sum((F.length("word") + 1) * F.col("n")).alias("symbols"),
+    )
+    languages, calibration = model.languages, (model.mean, model.spread, model.limit)  # one number per language each
+
+    @arrow_udf("lang_pred string, score double, entropy double, symbols long, accepted boolean")
+    def decide(loss: pa.Array, symbols: pa.Array) -> pa.Array:
+        plain = Model(languages, 0, *[np.empty(0)] * 5, *calibration)
+        losses = np.array(loss.to_pylist(), dtype=float).reshape(len(loss), len(languages))
+        rows = _decided(plain, losses, symbols.to_numpy(zero_copy_only=False).astype(float))
+        return pa.RecordBatch.from_pandas(rows, _DECIDED, preserve_index=False).to_struct_array()
+
+    key, found = fresh(docs.withColumn(name, F.lit(0)), "text_key", "decided")
+    decided = sums.select(F.col("key").alias(key), decide("loss", "symbols").alias(found))
+    unknown = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("entropy")]
+    unknown = F.struct(*unknown, F.lit(0).cast("long").alias("symbols"), F.lit(False).alias("accepted"))
+    rows = docs.withColumn(key, F.sha2("text", 256)).join(decided, key, "left")
+    return rows.withColumn(name, F.coalesce(found, unknown)).drop(key, found)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; 0 for null."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS, F.lit(0))
 
 
-def fit(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> Model:
-    """Model of docs (doc_id, text, lang): folds 2 to 4 counted, fold 1 for calibration."""
+def fit(
+    docs: DataFrame, order: int = ORDER, max_grams: int | None = None, in_memory: int = IN_MEMORY
+) -> Model | TableModel:
+    """Model of docs (doc_id, text, lang): folds 2 to 4 counted, fold 1 for calibration.
+
+    All grams count; only a caller that names ``max_grams`` gets a smaller model, without the rarest ones.
+    """
     spark = docs.sparkSession
     labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) > 0))
     counts = saved(gram_counts(labelled.where(fold(F.col("doc_id")) > 1), order), "grams")
-    lowest = 1
-    while counts.where(F.col("n") >= lowest).count() > max_grams:
+    lowest, n = 1, counts.count()
+    while max_grams is not None and n > max_grams:
         lowest *= 2
-    # At most max_grams short rows: the model itself.
-    model = model_of(counts.where(F.col("n") >= lowest).toArrow(), order)
+        n = counts.where(F.col("n") >= lowest).count()
+    counts = counts.where(F.col("n") >= lowest)
+    # At most in_memory short rows come to the driver.
+    model = model_of(counts.toArrow(), order) if n <= in_memory else tables_of(counts, order)
     if not model.languages:
         return model
-    seen = labelled.where(fold(F.col("doc_id")) == 1).select("lang", predicted(spark, model, F.col("text")).alias("p"))
+    seen = marked(labelled.where(fold(F.col("doc_id")) == 1), model, "p")
     seen = saved(seen.where("p.symbols > 0 AND p.lang_pred = lang").select("lang", "p.entropy", "p.symbols"), "calibration")
     per_symbol = F.sum(F.col("entropy") * F.col("symbols")) / F.sum("symbols")
     means = seen.groupBy("lang").agg(per_symbol.alias("mean"))
@@ -402,15 +544,15 @@ def fit(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> Mode
     return model.calibrated(mean, spread, np.maximum(SLACK * high / spread, SLACK))
 
 
-def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
+def keep_accepted(docs: DataFrame, model: Model | TableModel) -> DataFrame:
     """docs without the rows that the model rejects."""
     (mark,) = fresh(docs, "language")
-    rows = docs.withColumn(mark, predicted(docs.sparkSession, model, docs["text"]))
+    rows = marked(docs, model, mark)
     return rows.where(F.col(f"{mark}.accepted")).drop(mark)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = predicted(spark, fit(docs), F.col("text")).alias("p")
-    rows = docs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), found)
-    return rows.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.accepted")
+    rows = marked(docs.select("doc_id", "text"), fit(docs), "p")
+    held_out = (fold(F.col("doc_id")) == 0).alias("held_out")
+    return rows.select("doc_id", held_out, "p.lang_pred", "p.score", "p.accepted")

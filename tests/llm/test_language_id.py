@@ -121,3 +121,26 @@ def test_lowest_counts_go_first(spark, sf):
     small = li.fit(docs, max_grams=3000)
     full = li.fit(docs)
     assert len(small.grams) < len(full.grams) and small.languages == full.languages
+
+
+def test_a_model_beyond_memory_is_whole(spark, sf):
+    """Past the bound of a model in memory no gram goes, and the tables give what the arrays give."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(150)
+    extra = [(None, None, None), (-1, "", "en"), (-2, "½ 12", "fr"), (-3, "zzqx", None), (-4, "Ünï çø\u0301de", "de")]
+    odd = spark.createDataFrame(extra, "doc_id long, text string, lang string")
+    docs = docs.select("doc_id", "text", "lang").union(odd).union(odd).repartition(3).localCheckpoint()
+    held, tables = li.fit(docs), li.fit(docs, in_memory=100)
+    assert isinstance(held, li.Model) and isinstance(tables, li.TableModel) and tables.languages == held.languages
+    model = held.grams.size
+    assert tables.table.where("exists(log_p, x -> x IS NOT NULL)").count() == model > 100
+    for a, b in ((held.mean, tables.mean), (held.spread, tables.spread), (held.limit, tables.limit)):
+        assert np.allclose(a, b, rtol=1e-4)
+
+    def rows(m):
+        got = li.marked(docs, m, "p").select("doc_id", "p.*").collect()
+        return sorted(([str(r.doc_id), r.lang_pred, r.symbols, r.accepted], r.score, r.entropy) for r in got)
+
+    want, got = rows(held), rows(tables)
+    assert [r[0] for r in got] == [r[0] for r in want]
+    assert np.allclose([r[1:] for r in got], [r[1:] for r in want], rtol=1e-4)
+    assert li.keep_accepted(docs, tables).columns == docs.columns
