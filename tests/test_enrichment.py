@@ -245,3 +245,22 @@ def test_frequent_terms_are_left_out(spark):
     kept = {r.term for r in topics.known_terms(df, max_percent=50).collect()}
     assert "common" not in kept and "word" not in kept and len(kept) == 10
     assert topics.known_terms(df, max_percent=50, stop_words=["undx"]).count() == 9
+
+
+def test_topics_by_cells_equal_the_passes(spark, monkeypatch):
+    """Blocks, shards and packed rows of any size give the sums of the shares as the passes define them."""
+    for name, value in {"SHARD": 3, "BLOCK": 2, "PACKED": 2, "TASK": 5, "CHUNK": 2}.items():
+        monkeypatch.setattr(topics, name, value)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "kappa", "sigma", "theta"]
+    texts = [(f"o{i % 9}", " ".join(words[(i * j) % 8] for j in range(1, 2 + i % 6))) for i in range(14)]
+    texts += [(None, "alpha only nowhere"), (None, "beta"), ("blank", "")]
+    df = spark.createDataFrame(texts, "order_id string, review_comment_message string").repartition(3)
+    for passes in (0, 1, 4):
+        worded = topics._worded(df)
+        divided = topics.first_shares(topics._counts(worded), 4, 7).localCheckpoint()
+        size = divided.select("term").distinct().count()
+        for _ in range(passes):
+            divided = topics.next_shares(divided, 4, size).localCheckpoint()
+        want = divided.groupBy("term").agg(*[F.sum(s).alias(s) for s in topics.shares(4)])
+        got = topics.discover_topics(df, k=4, seed=7, languages=(), passes=passes).weights
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
