@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from stallwise.functions.constants import DELIVERED
 from stallwise.plans.star import Star
 
+#: Rows that a task of ``spread`` is meant to get.
+ROWS = 250_000
+
 
 def item_totals(star: Star, *extra_keys: str) -> DataFrame:
     """Items summed per order (and extra keys) before any join, so that a huge order is one row.
@@ -50,6 +53,15 @@ def kept(rows: DataFrame, star: Star) -> DataFrame:
     return rows.join(star.fact_orders.select("order_id"), "order_id", "left_semi")
 
 
+def spread(rows: DataFrame, like: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by the keys to tasks of some ROWS each, by the number of rows of ``like``.
+
+    Spark sizes tasks by compressed bytes, of which a hash table or a sort makes many times as much: here the memory
+    of a task stays the same, whatever the table's size. A key's rows are in one task, however many.
+    """
+    return rows.repartition(max(-(-like.count() // ROWS), 1), *keys)
+
+
 def delivered(star: Star) -> DataFrame:
     return star.fact_orders.filter(F.col("order_status") == DELIVERED)
 

@@ -1,6 +1,8 @@
 import math
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import shop
 from stallwise.functions.dates import months_between_boundaries
@@ -168,3 +170,19 @@ def test_trust_gate(spark, star):
     assert reviews.run_summary(ok).first().trusted
     assert levers.complaint_distribution(ok, star).first().trusted
     assert not reviews.run_summary(ok.limit(0)).first().trusted
+
+
+def test_high_ticket_tasks_are_bounded(spark, sf, model, monkeypatch):
+    """More rows give more tasks, not larger ones; orders are counted once, whatever the number of tasks."""
+    from stallwise.plans import common, levers
+
+    want = levers.high_ticket_categories(model, 10).collect()
+    monkeypatch.setattr(common, "ROWS", 100)
+    found = levers.high_ticket_categories(model, 10)
+    tasks = -(-model.order_items.count() // 100)
+    assert f"hashpartitioning(order_id, {tasks})" in re.sub(r"#\d+L?", "", found._jdf.queryExecution().toString())
+    assert want and found.collect() == want
+    lines = model.order_items.join(model.fact_orders.select("order_id"), "order_id", "left_semi")
+    lines = lines.join(model.dim_product, "product_id").groupBy("category_name").agg(F.count_distinct("order_id").alias("n"))
+    orders = {r.category_name: r.n for r in lines.collect()}
+    assert all(r.orders == orders[r.category] for r in want)
