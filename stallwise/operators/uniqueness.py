@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,13 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str], right_k
     return condition
 
 
-def mark_repeats(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], flag: str = IS_REPEAT) -> DataFrame:
+def mark_repeats(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    flag: str = IS_REPEAT,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
     """Add ``flag``: false on the first row of each key in ``order_by``, true on the later ones.
 
     NULL keys are equal to each other. Files have no row order here, so the caller names the
@@ -29,18 +35,24 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], fl
     shuffle, so a hot key is a few rows per task. A row is a repeat if it comes after that first one;
     rows equal to a first that occurs several times are put back from the count. Nothing depends on
     the place of a row, so a recomputed task gives the same rows. Whole rows are joined to the firsts
-    of repeated keys once, by broadcast where those are few.
+    of repeated keys once, by broadcast where those are few. ``keep`` writes a small table and reads it back: then
+    Spark knows how few they are before it shuffles whole rows, and without a repeated key no row is joined.
     """
     keys = list(keys)
     rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
     renamed = [f"_key{i}" for i in range(len(keys))]
     as_keys = [F.col(k).alias(r) for k, r in zip(keys, renamed)]
     again = df.groupBy(*as_keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    if keep is not None:
+        again = keep(again, "again")
+        if again.isEmpty():
+            return df.withColumn(flag, F.lit(False))
     repeated = df.join(again, null_safe_on(df, again, keys, renamed), "left_semi")
     row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("_none"))
     alike = repeated.groupBy(*as_keys, row.alias("_row")).agg(F.count(F.lit(1)).alias("_alike"))
     firsts = alike.groupBy(*renamed).agg(F.min(F.struct("_row", "_alike")).alias("_first"))
     firsts = firsts.select(*renamed, F.col("_first._row").alias("_row"), F.col("_first._alike").alias("_alike"))
+    firsts = firsts if keep is None else keep(firsts, "firsts")
 
     joined = df.join(firsts, null_safe_on(df, firsts, keys, renamed), "left")
     is_first = row.eqNullSafe(F.col("_row"))

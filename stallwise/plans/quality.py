@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from stallwise.operators.outliers import flag_outliers, limit_row
 from stallwise.operators.references import (
     FAILED_REFERENCE,
     Reference,
+    orphan_keys,
     shared_orphans,
     tag_first_failure,
 )
@@ -112,8 +113,10 @@ def rule_sets(single_installment_type: str = BOLETO) -> dict[str, RuleSet]:
     return {s.entity: s for s in sets}
 
 
-def tag_entity(df: DataFrame, rule_set: RuleSet) -> DataFrame:
-    """Rows with the list of everything they violate: types, rules, key."""
+def tag_entity(
+    df: DataFrame, rule_set: RuleSet, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """Rows with the list of everything they violate: types, rules, key. ``keep`` writes the repeated keys first."""
     tagged = r.tag(df, rule_set.rules)
     found = F.col(r.VIOLATIONS)
     if BAD_VALUES in df.columns:
@@ -121,11 +124,12 @@ def tag_entity(df: DataFrame, rule_set: RuleSet) -> DataFrame:
         tagged = tagged.withColumn(r.VIOLATIONS, F.concat(types, found))
     if rule_set.key:
         order = list(rule_set.order_by) or ([POSITION] if POSITION in df.columns else [])
+        named = None if keep is None else lambda found, name: keep(found, f"{name}_{rule_set.entity}")
         repeat = F.when(F.col(IS_REPEAT), F.array(F.lit(f"unique({rule_set.key})"))).otherwise(
             F.array().cast("array<string>")
         )
         tagged = (
-            mark_repeats(tagged, [rule_set.key], order)
+            mark_repeats(tagged, [rule_set.key], order, keep=named)
             .withColumn(r.VIOLATIONS, F.concat(found, repeat))
             .drop(IS_REPEAT)
         )
@@ -172,7 +176,8 @@ def _shared_orphans(
     children = {name: (frames[child], column) for child, name, column, _ in checks}
     found = shared_orphans(children, parent, checks[0][3])
     found = found if keep is None else keep(found, f"orphans_{entity}")
-    return {name: found.where(F.array_contains("held", name)).select("_orphan_key") for name in children}
+    keys = {name: found.where(F.array_contains("held", name)).select("_orphan_key") for name in children}
+    return keys if keep is None else {name: keep(df, f"orphans_{name}") for name, df in keys.items()}
 
 
 def run_quality(
@@ -185,7 +190,9 @@ def run_quality(
 
     A row fails its entity's rules first and then the references in order, so each check counts
     and quarantines what the earlier ones left. References to one parent and key are decided together,
-    by one shuffle of the keys of all children. ``keep`` writes a tagged entity and reads it back: the
+    by one shuffle of the keys of all children. Repeated and orphan keys are written before the rows meet
+    them, so that Spark knows their size and shuffles no whole rows for a few keys. ``keep`` writes a tagged
+    entity and reads it back: the
     file run hands in a table writer, so that it is computed once, counted while it is written, and
     then read for the clean part, the bad part and the children. Without it all but the outlier limit
     stays one lazy plan.
@@ -195,7 +202,7 @@ def run_quality(
     limit = None
     orphans: dict[str, DataFrame] = {}
     for entity, rule_set in (sets or rule_sets()).items():
-        tagged = tag_entity(frames[entity], rule_set)
+        tagged = tag_entity(frames[entity], rule_set, keep)
         if entity == "order_items":
             # One row, read now: the flag and the audit share it.
             limit = limit_row(tagged.filter(~broken), "price", **(outliers or {}))
@@ -206,6 +213,11 @@ def run_quality(
             for child, name, column, parent, parent_column in REFERENCES
             if child == entity
         ]
+        if keep is not None:
+            refs = [
+                f if f.orphans is not None else replace(f, orphans=keep(orphan_keys(frames[entity], f), f"orphans_{f.name}"))
+                for f in refs
+            ]
         tagged = tag_first_failure(tagged, refs)
         orphan = F.col(FAILED_REFERENCE)
         steps = [(rule_set.check_name, broken)] + [(f.name, ~broken & (orphan == f.name)) for f in refs]
