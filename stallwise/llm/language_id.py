@@ -526,8 +526,11 @@ def fit(
     model = model_of(counts.toArrow(), order) if n <= in_memory else tables_of(counts, order)
     if not model.languages:
         return model
+    # Written before it is filtered: a filter on the scores would be pushed below them and score every text once more,
+    # by a second Python worker for each task.
     seen = marked(labelled.where(fold(F.col("doc_id")) == 1), model, "p")
-    seen = saved(seen.where("p.symbols > 0 AND p.lang_pred = lang").select("lang", "p.entropy", "p.symbols"), "calibration")
+    seen = saved(seen.select("lang", "p.lang_pred", "p.entropy", "p.symbols"), "calibration")
+    seen = seen.where("symbols > 0 AND lang_pred = lang").drop("lang_pred")
     per_symbol = F.sum(F.col("entropy") * F.col("symbols")) / F.sum("symbols")
     means = seen.groupBy("lang").agg(per_symbol.alias("mean"))
     scaled = (F.col("entropy") - F.col("mean")) * F.sqrt("symbols")

@@ -144,3 +144,16 @@ def test_a_model_beyond_memory_is_whole(spark, sf):
     assert [r[0] for r in got] == [r[0] for r in want]
     assert np.allclose([r[1:] for r in got], [r[1:] for r in want], rtol=1e-4)
     assert li.keep_accepted(docs, tables).columns == docs.columns
+
+
+def test_calibration_scores_each_text_once(spark, sf, monkeypatch):
+    """One evaluation of the model in each written step: a second one takes another Python worker for each task."""
+    written, plans = li.saved, {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(li, "saved", noted)
+    li.fit(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert plans["calibration"].count("ArrowEvalPython") == 1
