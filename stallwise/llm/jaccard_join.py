@@ -17,7 +17,8 @@ differ in at most d = a + b - 2c.
 
 Lists are scanned without all pairs of them: a set is first compared with the one that most of its lists begin with.
 Of lists that this leaves in several components, those of up to ``LONG`` sets give their pairs of unlike components; in
-longer ones the differences from the first set of the list are joined in place of the sets (see ``_close``).
+longer ones the differences from a set near the list's (its hub) are joined in place of the sets (see ``_close``).
+Pairs whose sketches differ in more bits than linked sets can in shingles leave these joins at once (``sketch``).
 Links are decided by the exact sets, which are made anew for the texts that share a list. Components are those of all
 links. Sets equal in their 64-bit hashes count as equal.
 
@@ -48,6 +49,8 @@ PERCENT = 85
 LIGHTEST, LONG, LIST_COST = 32, 64, 4
 #: No set has as many shingles.
 _LARGEST = 1 << 40
+#: Columns of a sketch, 64 bits each.
+SKETCH = ["s0", "s1", "s2", "s3"]
 
 
 def least_common(a: int, b: int, percent: int) -> int:
@@ -131,6 +134,15 @@ def list_keys(hashes: np.ndarray, level: int, percent: int) -> tuple[np.ndarray,
     return (keys[sizes > 0], left) if left >= 0 else (keys, -1)
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parities of how many shingles fall on each bit: a shingle in which two sets differ changes one bit, so their
+    sketches differ in as many bits at most."""
+    with np.errstate(over="ignore"):
+        bit = (mixed(hashes ^ np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(64 * len(SKETCH))
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 @cache
 def _left_out(n: int, c: int) -> np.ndarray:
     """Places left out of a set of n by each of its subsets of c."""
@@ -199,42 +211,66 @@ def _entries(signed: DataFrame, light: int, percent: int) -> DataFrame:
     return every.select(F.explode("keys").alias("key"), (F.col("row") * 4 + F.col("kind")).alias("entry"))
 
 
-def _members(entries: DataFrame, rows: DataFrame) -> DataFrame:
-    """(key, set, n) of the lists with several sets, after each set has left as many of its longest as it may. Subsets
-    are of level -1 and left by none."""
+def _met(entries: DataFrame) -> DataFrame:
+    """The entries of lists with several rows."""
     met = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    met = saved(entries.join(met, "key", "left_semi"), "met")
+    return saved(entries.join(met, "key", "left_semi"), "met")
+
+
+def _members(met: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, set, n, weight) of the lists with several sets, after each set has left as many of its longest as it may.
+    Subsets are of level -1 and left by none. weight: the sizes of the set's lists, with those that it leaves."""
     kind = F.pmod("entry", F.lit(4))
     level = F.when(kind == 2, F.lit(-1)).otherwise(F.col("level") - kind)
     left = F.when(kind == 0, F.col("own_left")).when(kind == 1, F.col("below_left")).otherwise(F.lit(0))
     named = met.withColumn("row", F.shiftright("entry", 2)).join(rows, "row")
     named = named.select("key", "set", "n", level.cast("int").alias("level"), left.alias("left")).distinct()
     named = saved(named, "named")
+    dropped(met)
     sizes = named.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     longest = W.partitionBy("set", "level").orderBy(F.desc("size"), "key")
-    ranked = named.join(sizes, "key").withColumn("place", F.row_number().over(longest))
-    return saved(ranked.where("place > left").select("key", "set", "n"), "members")
+    weight = F.sum("size").over(W.partitionBy("set", "level")).alias("weight")
+    ranked = named.join(sizes, "key").select("*", weight, F.row_number().over(longest).alias("place"))
+    members = saved(ranked.where("place > left").select("key", "set", "n", "weight"), "members")
+    dropped(named)
+    return members
+
+
+def _first(members: DataFrame, name: str) -> DataFrame:
+    """(key, name, name_n): of each list the set of most weight. One that others are copies of is in most of their
+    lists, so it comes first in all of them, and they have one first set instead of many."""
+    first = members.groupBy("key").agg(F.max(F.struct("weight", "set", "n")).alias("first"))
+    return first.select("key", F.col("first.set").alias(name), F.col("first.n").alias(f"{name}_n"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set, hashes) of the wanted texts (set, doc_id, text_hash)."""
+    """(set, hashes) and sketch of the wanted texts (set, doc_id, text_hash)."""
     texts = docs.select(docs["doc_id"].alias("d"), F.xxhash64(docs["text"]).alias("h"), docs["text"].cast("binary"))
     rows = texts.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches):
-            hashes = [shingle_set(t.as_py(), size).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(hashes, pa.list_(pa.int64()))], names=["set", "hashes"]
-            )
+            hashes = [shingle_set(t.as_py(), size) for t in batch.column(1)]
+            sketches = np.array([sketch(h) for h in hashes], dtype=np.int64).reshape(-1, len(SKETCH))
+            lists = pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, *map(pa.array, sketches.T)], names=names)
 
-    return rows.select("set", "text").mapInArrow(run, "set long, hashes array<long>").dropDuplicates(["set"])
+    names = ["set", "hashes", *SKETCH]
+    schema = f"set long, hashes array<long>, {', '.join(f'{c} long' for c in SKETCH)}"
+    return rows.select("set", "text").mapInArrow(run, schema).dropDuplicates(["set"])
 
 
 def _may_link(a: str | Column, b: str | Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _not_apart(percent: int) -> Column:
+    """Whether the sets a and b may link by their sizes and sketches."""
+    bits = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH), F.lit(0))
+    both = F.col("a_n") + F.col("b_n")
+    return _may_link("a_n", "b_n", percent) & ((100 + percent) * bits <= (100 - percent) * both)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -251,13 +287,26 @@ def _most_apart(n: Column, percent: int) -> Column:
     return F.floor((100 - percent) * (n + F.floor(100 * n / percent)) / (100 + percent))
 
 
+def _hubs(long: DataFrame) -> DataFrame:
+    """(key, hub, hub_n) of long lists: from the first set of a list on, twice, to the heaviest first set of the lists
+    that set is in. So lists of one group of copies have few hubs."""
+    firsts = long.groupBy("key").agg(F.max(F.struct("weight", "set", "n")).alias("hub"))
+    firsts = saved(firsts, "firsts")
+    up = long.join(firsts, "key").groupBy(F.col("set").alias("from")).agg(F.max("hub").alias("to"))
+    up = saved(up, "hubs")
+    hubs = firsts
+    for _ in range(2):
+        hubs = hubs.join(up, F.col("hub.set") == F.col("from")).select("key", F.col("to").alias("hub"))
+    return hubs.select("key", F.col("hub.set").alias("hub"), F.col("hub.n").alias("hub_n"))
+
+
 def _differences(long: DataFrame, sets: DataFrame) -> DataFrame:
-    """(hub, hub_n, set, n, apart) of the members of long lists: their differences from the first set of a list."""
-    firsts = long.groupBy("key").agg(F.min("set").alias("hub"), F.min_by("n", "set").alias("hub_n"))
-    near = long.join(firsts, "key").select("hub", "hub_n", "set", "n").distinct()
-    both = near.join(sets.toDF("set", "x"), "set").join(sets.toDF("hub", "h"), "hub")
+    """(hub, hub_n, set, n, sketch, apart) of the members of long lists: their differences from the hub of a list."""
+    near = long.join(_hubs(long), "key").select("hub", "hub_n", "set", "n").distinct()
+    both = near.join(sets.withColumnRenamed("hashes", "x"), "set")
+    both = both.join(sets.select(F.col("set").alias("hub"), F.col("hashes").alias("h")), "hub")
     apart = F.concat(F.array_except("x", "h"), F.array_except("h", "x")).alias("apart")
-    return saved(both.select("hub", "hub_n", "set", "n", apart), "differences")
+    return saved(both.select("hub", "hub_n", "set", "n", *SKETCH, apart), "differences")
 
 
 def _close(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -269,37 +318,41 @@ def _close(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     order, stands for pairs that may differ in all.
     """
     mark = F.lit(None).cast("long")
-    rows = differences.withColumn("d", F.size("apart")).select(
-        "hub", "set", "n", "d", F.explode(F.concat("apart", F.array(mark))).alias("shingle")
+    rows = differences.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set"))
+    unlike = rows.groupBy("hub").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("hub")
+    rows = rows.join(unlike, "hub", "left_semi").withColumn("d", F.size("apart")).select(
+        "hub", "set", "n", *SKETCH, "d", "label", F.explode(F.concat("apart", F.array(mark))).alias("shingle")
     )
     often = rows.where("shingle IS NOT NULL").groupBy("hub", "shingle").agg(F.count("*").alias("often"))
     placed = rows.join(often, ["hub", "shingle"], "left")
     rare = W.partitionBy("hub", "set").orderBy(F.col("often").asc_nulls_last(), "shingle")
     most = _most_apart(F.col("n"), percent)
     placed = placed.withColumn("place", F.row_number().over(rare)).where(F.col("place") <= most + 1)
-    placed = placed.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set"))
     first = (F.col("place") <= F.floor(most / 2) + 1).alias("first")
     shingle = F.coalesce("shingle", F.lit(0)).alias("shingle")
-    placed = saved(placed.select("hub", shingle, first, "set", "n", "d", "label"), "prefixes")
-    columns = ("set", "n", "d", "label")
+    placed = saved(placed.select("hub", shingle, first, "set", "n", *SKETCH, "d", "label"), "prefixes")
+    columns = ("set", "n", *SKETCH, "d", "label")
     one, two = (placed.select("hub", "shingle", "first", *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in "ab")
     met = one.where("first").drop("first").join(two.drop("first"), ["hub", "shingle"])
     nearer = F.struct("a_d", "a_set") < F.struct("b_d", "b_set")
-    met = met.where(nearer & (F.col("a_label") != F.col("b_label")) & _may_link("a_n", "b_n", percent))
+    met = met.where(nearer & (F.col("a_label") != F.col("b_label")) & _not_apart(percent))
     return met.select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
 
 
 def _links(docs: DataFrame, signed: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): links of sets whose components are those of all links."""
+    """(a, b): links of sets whose components are those of all links. The files of signed go."""
     counted = rows.where((F.col("n") > 0) & (F.col("n") <= LIGHTEST)).groupBy("n").agg(F.count("*").alias("sets"))
     light = boundary({r.n: r.sets for r in counted.collect()}, percent)
-    members = _members(_entries(signed, light, percent), rows)
+    met = _met(_entries(signed, light, percent))
+    dropped(signed)
+    members = _members(met, rows)
     place = F.struct("doc_id", "text_hash")
     texts = rows.join(members.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(place).alias("p"))
     sets = saved(_sets(docs, texts.select("set", "p.*"), size), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        hashes = sets.select("set", "hashes")
+        both = pairs.join(hashes.toDF("a", "x"), "a").join(hashes.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
         link = (100 + percent) * common >= percent * (F.size("x") + F.size("y"))
         return saved(both.where(link).select("a", "b"), "set-links")
@@ -311,8 +364,7 @@ def _links(docs: DataFrame, signed: DataFrame, rows: DataFrame, size: int, perce
         return saved(found.join(lists.where("l <> h").select("key", "size"), "key"), "labelled")
 
     # With which of the first sets of its lists a set is compared at first doesn't matter: the last steps miss none.
-    firsts = members.groupBy("key").agg(F.min("set").alias("b"), F.min_by("n", "set").alias("b_n"))
-    met = members.withColumnRenamed("set", "a").join(firsts, "key")
+    met = members.withColumnRenamed("set", "a").join(_first(members, "b"), "key")
     links = linked(_best(met.where((F.col("a") != F.col("b")) & _may_link("n", "b_n", percent)).select("a", "b")))
 
     found = labelled(components(links).withColumnRenamed("node", "set"))
@@ -324,8 +376,9 @@ def _links(docs: DataFrame, signed: DataFrame, rows: DataFrame, size: int, perce
 
     labels = saved(components(links).withColumnRenamed("node", "set"), "set-labels")
     short = labelled(labels).where(F.col("size") <= LONG)
-    one, two = (short.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("set", "n", "label")]) for x in "ab")
-    unlike = (F.col("a_label") < F.col("b_label")) & _may_link("a_n", "b_n", percent)
+    short = saved(short.select("key", "set", "n", "label").join(sets.drop("hashes"), "set"), "short")
+    one, two = (short.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("set", "n", *SKETCH, "label")]) for x in "ab")
+    unlike = (F.col("a_label") < F.col("b_label")) & _not_apart(percent)
     met = one.join(two, "key").where(unlike).select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
     return links.union(linked(_ordered(met.union(_close(differences, labels, percent)))))
 
@@ -335,7 +388,6 @@ def linked_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCEN
     signed = saved(_signed(docs, size, percent), "shingle-sets")
     rows = saved(signed.drop("small", "own", "below"), "set-rows")
     found = components(_links(docs, signed, rows, size, percent)).withColumnRenamed("node", "set")
-    dropped(signed)
     firsts = rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first"))
     rooted = firsts.join(found, "set", "left").withColumn("root", F.coalesce("component", "set"))
     roots = rooted.groupBy("root").agg(F.min("first").alias("lowest"))

@@ -90,6 +90,34 @@ def test_chain_and_long_lists(spark, monkeypatch):
     assert found(spark, rows) == want
 
 
+def test_unlinked_copies_of_one_text_stay_few_rows(spark, monkeypatch):
+    """Copies with edits of their own, too far apart to link: one or two hubs for all, and few candidates."""
+    rnd = random.Random(17)
+    monkeypatch.setattr(jj, "LONG", 8)
+    words, counts, close, differences = [f"w{i}" for i in range(150)], {}, jj._close, jj._differences
+
+    def noted(name, made):
+        counts[name] = made.count()
+        return made
+
+    monkeypatch.setattr(jj, "_close", lambda *a: noted("close", close(*a)))
+    monkeypatch.setattr(jj, "_differences", lambda *a: noted("differences", differences(*a)))
+    rows = [(i, " ".join(edited(rnd, words, 6))) for i in range(200)]
+    assert found(spark, rows) == by_hand(rows)
+    assert counts["differences"] <= 2 * len(rows)
+    assert counts["close"] <= len(rows)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    rnd = random.Random(19)
+    for _ in range(300):
+        pool = np.array(rnd.sample(range(1 << 62), rnd.randint(1, 600)), dtype=np.uint64)
+        a, b = (np.array([x for x in pool if rnd.random() < 0.8], dtype=np.uint64) for _ in "ab")
+        bits = sum((int(x) ^ int(y)).bit_count() for x, y in zip(jj.sketch(a).view("u8"), jj.sketch(b).view("u8"), strict=True))
+        assert bits <= len(np.setxor1d(a, b))
+        assert (jj.sketch(a) == jj.sketch(a[::-1])).all()
+
+
 @pytest.mark.parametrize(("size", "percent"), [(2, 60), (1, 95)])
 def test_other_parameters(spark, size, percent):
     rows = list(enumerate(texts_of(7)[:80]))
