@@ -144,10 +144,6 @@ def simhashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mixed(keys), _majorities(hashes, sizes)
 
 
-def _raw_hash(line: str) -> int:
-    return zlib.crc32(line.encode("utf-8", "surrogatepass"))
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line, key, fp, size, raw) of every line with a normal form, and the number of lines in
     ``n_lines``; size: characters of the normal form, raw: a hash of the line as it stands.
@@ -173,7 +169,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
                 total += [len(lines)] * len(found)
                 number += [n for n, _ in found]
                 forms += [form for _, form in found]
-                raw += [_raw_hash(lines[n]) for n, _ in found]
+                raw += [zlib.crc32(lines[n].encode("utf-8", "surrogatepass")) for n, _ in found]
             keys, fps = simhashes(forms) if forms else (np.empty(0, np.uint64),) * 2
             none = [None] * len(bare)
             take = pa.array(row + bare, pa.int64())
@@ -324,10 +320,12 @@ def _forms(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches):
-            lines = [line for text in batch.column(0).to_pylist() if text for line in text.split("\n")]
-            places = np.fromiter(map(_raw_hash, lines), dtype=np.int64, count=len(lines)) & (_FILTER - 1)
+            lines = [line for text in batch.column(0).cast(pa.binary()).to_pylist() if text for line in text.split(b"\n")]
+            places = np.fromiter(map(zlib.crc32, lines), dtype=np.int64, count=len(lines)) & (_FILTER - 1)
             some = np.flatnonzero(bits.value[places >> 3] >> (places & 7) & 1)
-            forms = [form for form in normals([lines[i] for i in some.tolist()]) if form]
+            forms = normals([lines[i].decode("utf-8", "surrogatepass") for i in some.tolist()])
+            # Copies of a line go once.
+            forms = list(dict.fromkeys(form for form in forms if form))
             keys = simhashes(forms)[0].view(np.int64) if forms else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(forms, pa.string())], names=["key", "form"])
 

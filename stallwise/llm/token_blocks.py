@@ -69,16 +69,28 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(values)
     choice = np.where(values >> np.uint64(60), 0, 14).astype(np.uint8)
+    # A run that fits a narrower width fits the wider ones: where few places are left, only those are looked at.
+    places = None
     for selector in range(13, 0, -1):
-        count = int(COUNTS[selector])
+        count, limit = int(COUNTS[selector]), np.uint64(1 << BITS[selector])
         if count > n:
             break
-        fits, run = values < np.uint64(1 << BITS[selector]), 1
-        while run < count:
-            step = min(run, count - run)
-            fits = fits[:-step] & fits[step:]
-            run += step
-        choice[: len(fits)][fits] = selector
+        if places is None:
+            fits, run = values < limit, 1
+            while run < count:
+                step = min(run, count - run)
+                fits = fits[:-step] & fits[step:]
+                run += step
+            choice[: len(fits)][fits] = selector
+            if 8 * np.count_nonzero(fits) < n:
+                places = np.flatnonzero(fits)
+        else:
+            places = places[places <= n - count]
+            for k in range(count):
+                places = places[values[places + k] < limit]
+            choice[places] = selector
+        if places is not None and not len(places):
+            break
     following = (np.arange(n) + COUNTS[choice]).tolist()
     starts, at = [], 0
     while at < n:
