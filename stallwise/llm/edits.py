@@ -90,6 +90,8 @@ def _together(pairs: list[tuple[np.ndarray, np.ndarray]], words: int, most: int)
     high = min(words - 1, most // _WORD)
     bottom = np.full(n, (high + 1) * _WORD, dtype=np.int64)
     out = np.full(n, most + 1, dtype=np.int64)
+    # Where a pair stands among those that can still be near enough; -1: nowhere.
+    alive = np.arange(n)
     ends = np.argsort(columns, kind="stable")
     ended = columns[ends]
     for column in range(width):
@@ -99,7 +101,7 @@ def _together(pairs: list[tuple[np.ndarray, np.ndarray]], words: int, most: int)
         low = max(0, column - most) // _WORD
         eqs = masks[low : high + 1, texts[column], pair]
         # What comes in from above: one more than in the column before.
-        more_in, less_in = np.full(n, _ONE), np.zeros(n, dtype=np.uint64)
+        more_in, less_in = np.full(len(pair), _ONE), np.zeros(len(pair), dtype=np.uint64)
         for w in range(low, high + 1):
             eq, above, below = eqs[w - low], up[w], down[w]
             with_less = eq | less_in
@@ -112,7 +114,24 @@ def _together(pairs: list[tuple[np.ndarray, np.ndarray]], words: int, most: int)
         bottom += more_in.astype(np.int64) - less_in.astype(np.int64)
         if high == words - 1:
             a, b = np.searchsorted(ended, [column + 1, column + 2])
-            out[ends[a:b]] = bottom[ends[a:b]]
+            here = ends[a:b]
+            here = here[alive[here] >= 0]
+            out[here] = bottom[alive[here]]
+        if column % _WORD == _WORD - 1:
+            # The least distance of the column bounds the last one from below; between two words' ends, the distances
+            # fall by a step a row at most.
+            upper, least = bottom, bottom
+            for w in range(high, low - 1, -1):
+                lower = upper
+                upper = lower - np.bitwise_count(up[w]).astype(np.int64) + np.bitwise_count(down[w])
+                least = np.minimum(least, (lower + upper - _WORD) // 2)
+            stays = least <= most
+            if 4 * np.count_nonzero(stays) < 3 * len(stays):
+                if not stays.any():
+                    break
+                alive[alive >= 0] = np.where(stays, np.cumsum(stays) - 1, -1)
+                masks, texts, up, down, bottom = (x[..., stays] for x in (masks, texts, up, down, bottom))
+                pair = np.arange(len(bottom))
     return out
 
 

@@ -98,3 +98,45 @@ def test_odd_rows(spark):
         map(str, [(1, 0, []), (2, 1, []), (3, 4, [2]), (None, 1, [0]), (4, 1, []), (5, 1, [0])])
     )
     assert ld.repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_normals():
+    odd = ["", " ", "a", " Ab--12 c_d! \r", "ΑΣ ΣΑ", "İx", "日本 ٣", "🙂 a 𝒳𝟗", "--- \t", "x" * 9]
+    every = ["".join(chr(c) for c in range(a, a + 256) if c != 10) for a in range(0, 0x20000, 256)]
+    assert ld.normals(odd + every) == [ld.normal(x) for x in odd + every] and ld.normals([]) == []
+
+
+def pairs(spark, rows):
+    dealt = ld._dealt(spark.createDataFrame(rows, "key long, fp long, size long, label long"))
+    return dealt, ld._first_pairs(dealt, 3, 0.8), ld._other_pairs(dealt, 3, 0.8)
+
+
+def test_rows_of_a_group_do_not_grow_with_its_square(spark):
+    # Lines of one group (label 0), each within 2 bits of the others.
+    rows = [(i, (1 << i % 60) | 1 << 62, 100, 0) for i in range(1, 301)]
+    dealt, first, others = pairs(spark, rows)
+    assert dealt.count() == 4 * 300
+    assert first.count() <= 16 * 300 and others.count() == 0
+
+
+def test_lines_of_unlike_lengths_are_no_candidates(spark):
+    rows = [(i, 5, 100 * 2 ** (i % 9), i) for i in range(9)]
+    _, first, others = pairs(spark, rows)
+    assert first.count() == 0 and others.count() == 0
+
+
+def test_every_near_pair_is_met_once(spark):
+    rnd = random.Random(2)
+    fps = [rnd.getrandbits(63) for _ in range(6)]
+    rows = [(i, rnd.choice(fps) ^ sum(1 << rnd.randrange(63) for _ in range(2)), rnd.randint(90, 130), i % 40) for i in range(120)]
+    _, first, others = pairs(spark, rows)
+    want = {
+        frozenset((a[0], b[0])) for a in rows for b in rows
+        if a[0] < b[0] and (a[1] ^ b[1]).bit_count() <= 3 and abs(a[2] - b[2]) <= int(max(a[2], b[2]) * (1 - 0.8) + 1e-9)
+    }
+    unlike = {p for p in want if len({x % 40 for x in p}) == 2}
+    got = [frozenset(r) for r in others.collect()]
+    assert set(got) == unlike and len(got) == len(unlike)
+    seen = first.collect()
+    assert {k for p in want for k in p} == {k for r in seen for k in r if k is not None}
+    assert {frozenset(r) for r in seen if r.b is not None} <= want
