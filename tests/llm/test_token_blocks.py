@@ -95,3 +95,27 @@ def test_odd_rows_and_small_blocks(spark, plain):
     assert len(whole) == len(rows) and all(ids[-1] == 0 for _, ids in whole)
     none = tb.token_digests(docs.limit(0))
     assert none.count() == 0 and none.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_widths_that_fit_nowhere_are_not_tried(monkeypatch):
+    tried = set()
+
+    class Bits(tuple):
+        def __getitem__(self, selector):
+            tried.add(selector)
+            return super().__getitem__(selector)
+
+    monkeypatch.setattr(tb, "BITS", Bits(tb.BITS))
+    tb.pack(np.full(1000, 30000, dtype=np.uint64))
+    assert min(tried) >= 10
+
+
+def test_pack_takes_as_many_as_fit():
+    rnd = random.Random(7)
+    values = [rnd.choice([0, 1, 3, 60, 900, 30000, 2**40, 2**62]) if rnd.random() < 0.3 else rnd.randint(0, 7) for _ in range(3000)]
+    at, words = 0, 0
+    while at < len(values):
+        fitting = [c for c, b in zip(tb.COUNTS[1:].tolist(), tb.BITS[1:]) if c <= len(values) - at and max(values[at : at + c]) < 1 << b]
+        at, words = at + max(fitting, default=1), words + 1
+    packed, escapes = tb.pack(np.array(values, dtype=np.uint64))
+    assert len(packed) == words and tb.unpack(packed, escapes).tolist() == values
