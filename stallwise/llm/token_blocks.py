@@ -19,7 +19,8 @@ Rows are dealt by ranges of the document id, so a shard is one task's range what
 only the shards' totals (one row per partition) are summed up in one place.
 
 Encoding: byte-level BPE splits texts before it merges, always before a space that a non-space follows. So texts
-are cut there, and of some million characters at a time each distinct piece goes through the tokenizer once.
+are cut there, and of some million characters at a time each distinct piece goes through the tokenizer once, or not
+at all if the worker still has its ids from before: it keeps those of a bounded number of pieces, the frequent ones.
 Tokenizers of any other kind encode whole texts. The strings of added tokens, such as ``<|endoftext|>``, are read as
 these tokens, as the library does; with ``special_as_text`` those of special tokens are ordinary text, so a document
 can't hold an end of its own.
@@ -35,7 +36,7 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,6 +57,10 @@ BITS = (60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 #: Characters of a text cut at a time, and characters encoded together.
 _STRETCH = 1 << 20
 TOGETHER = 1 << 23
+#: Words, and what follows them, whose ids a Python worker keeps, and bytes of one.
+KEPT_WORDS, KEPT_TAILS, KEPT_BYTES = 1 << 18, 1 << 15, 64
+#: What having met a piece counts, as against the next time.
+FADE = 0.98
 #: Where a Python worker keeps its tokenizer between tasks.
 _KEPT = "stallwise_worker_tokenizer"
 _CUT = re.compile(r" (?=\S)")
@@ -68,49 +73,53 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, escapes) of unsigned 64-bit values."""
     values = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(values)
-    choice = np.where(values >> np.uint64(60), 0, 14).astype(np.uint8)
-    # A run that fits a narrower width fits the wider ones: where few places are left, only those are looked at.
-    places = None
+    choice = np.full(n, 14, dtype=np.uint8)
+    # A run that fits a narrower width fits the wider ones: each width that fits lowers the selector by one.
     for selector in range(13, 0, -1):
-        count, limit = int(COUNTS[selector]), np.uint64(1 << BITS[selector])
+        count = int(COUNTS[selector])
         if count > n:
             break
-        if places is None:
-            fits, run = values < limit, 1
-            while run < count:
-                step = min(run, count - run)
-                fits = fits[:-step] & fits[step:]
-                run += step
-            choice[: len(fits)][fits] = selector
-            if 8 * np.count_nonzero(fits) < n:
-                places = np.flatnonzero(fits)
-        else:
-            places = places[places <= n - count]
-            for k in range(count):
-                places = places[values[places + k] < limit]
-            choice[places] = selector
-        if places is not None and not len(places):
+        fits, run = values < np.uint64(1 << BITS[selector]), 1
+        while run < count:
+            step = min(run, count - run)
+            fits = fits[:-step] & fits[step:]
+            run += step
+        if not fits.any():
             break
-    following = (np.arange(n) + COUNTS[choice]).tolist()
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
-        at = following[at]
-    starts = np.array(starts, dtype=np.int64)
+        choice[: len(fits)] -= fits
+    choice[values >> np.uint64(60) != 0] = 0
+    starts = _steps(COUNTS[choice])
     chosen = choice[starts]
     words = np.zeros(len(starts), dtype=np.uint64)
     for selector in range(1, 15):
         where = np.flatnonzero(chosen == selector)
         if len(where):
-            count = int(COUNTS[selector])
-            shifts = (np.arange(count) * BITS[selector]).astype(np.uint64)
-            held = values[starts[where][:, None] + np.arange(count)] << shifts
-            words[where] = np.bitwise_or.reduce(held, axis=1) | np.uint64(selector << 60)
+            first, held = starts[where], np.full(len(where), selector << 60, dtype=np.uint64)
+            for k in range(int(COUNTS[selector])):
+                held |= values[first + k] << np.uint64(k * BITS[selector])
+            words[where] = held
     escaped = np.flatnonzero(chosen == 0)
     words[escaped] = np.arange(len(escaped), dtype=np.uint64)
     return words, values[starts[escaped]]
 
 
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """The places 0, 0 + sizes[0] and so on, each as far behind the one before as that one's size."""
+    n = len(sizes)
+    # Where one, two, four ... steps lead; the last place leads to itself.
+    leaps = [np.append(np.minimum(np.arange(n) + sizes, n), n)]
+    for _ in range(5):
+        leaps.append(leaps[-1][leaps[-1]])
+    far, starts, at = memoryview(leaps.pop()), [], 0
+    while at < n:
+        starts.append(at)
+        at = far[at]
+    starts = np.array(starts, dtype=np.int64)
+    for leap in reversed(leaps):
+        starts = np.stack([starts, leap[starts]], axis=1).ravel()
+    return starts[starts < n]
+
+
 def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     """The values that ``pack`` was given."""
     chosen = (words >> np.uint64(60)).astype(np.uint8)
@@ -121,10 +130,9 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     for selector in range(1, 15):
         where = np.flatnonzero(chosen == selector)
         if len(where):
-            count, bits = int(COUNTS[selector]), BITS[selector]
-            shifts = (np.arange(count) * bits).astype(np.uint64)
-            held = (words[where][:, None] >> shifts) & np.uint64((1 << bits) - 1)
-            out[starts[where][:, None] + np.arange(count)] = held
+            first, held, bits = starts[where], words[where], BITS[selector]
+            for k in range(int(COUNTS[selector])):
+                out[first + k] = (held >> np.uint64(k * bits)) & np.uint64((1 << bits) - 1)
     where = np.flatnonzero(chosen == 0)
     out[starts[where]] = escapes[words[where].astype(np.int64)]
     return out
@@ -136,7 +144,40 @@ def _gathered(ids: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> tupl
     ends = np.cumsum(many)
     total = int(ends[-1]) if len(ends) else 0
     starts = (np.cumsum(lengths) - lengths)[numbers]
-    return ids[np.repeat(starts - ends + many, many) + np.arange(total)], many
+    places = np.repeat(starts - ends + many, many)
+    places += np.arange(total)
+    return ids[places], many
+
+
+class Known:
+    """Ids of ``most`` pieces that texts had most often and lately, of ``KEPT_BYTES`` at most each: these don't go
+    through the tokenizer again and again."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.pieces, self.met = pa.array([], pa.string()), np.empty(0, np.float32)
+        self.ids, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def of(
+        self, pieces: pa.Array, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, end to end, and the number of each one's; ``encode`` gives them for new pieces."""
+        at, count = pc.index_in(pieces, value_set=self.pieces), len(self.pieces)
+        added = pieces.filter(pc.is_null(at))
+        ids, lengths = encode(added.to_numpy(zero_copy_only=False).tolist())
+        ids, lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        numbers = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        numbers[numbers < 0] = count + np.arange(len(added))
+        met = np.append(self.met * np.float32(FADE), np.zeros(len(added), np.float32))
+        met[numbers] += 1
+        short = pc.less_equal(pc.binary_length(added), KEPT_BYTES).to_numpy(zero_copy_only=False)
+        kept = np.append(np.arange(count), count + np.flatnonzero(short))
+        if len(kept) > self.most:
+            over = len(kept) - self.most
+            kept = np.sort(kept[np.argpartition(met[kept], over)[over:]])
+        self.pieces, self.met = pa.concat_arrays([self.pieces, added]).take(pa.array(kept)), met[kept]
+        self.ids, self.lengths = _gathered(ids, lengths, kept)
+        return _gathered(ids, lengths, numbers)
 
 
 @dataclass(frozen=True)
@@ -178,6 +219,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition.json)
         self.tokenizer.encode_special_tokens = definition.special_as_text
+        self.known = Known(KEPT_WORDS), Known(KEPT_TAILS)
         self._take(definition)
 
     def _take(self, definition: Definition) -> None:
@@ -187,13 +229,15 @@ class Encoder:
 
     @classmethod
     def of_worker(cls, definition: Definition) -> Encoder:
-        """One tokenizer for all tasks that a Python worker runs: reading its vocabulary takes time and memory."""
+        """One tokenizer, and what it gave last, for all tasks that a Python worker runs: reading its vocabulary takes
+        time and memory."""
         kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT))
         key = zlib.crc32(definition.json.encode()), len(definition.json), definition.special_as_text
         if getattr(kept, "key", None) != key:
-            kept.key, kept.tokenizer = key, cls(definition).tokenizer
+            made = cls(definition)
+            kept.key, kept.tokenizer, kept.known = key, made.tokenizer, made.known
         out = cls.__new__(cls)
-        out.tokenizer = kept.tokenizer
+        out.tokenizer, out.known = kept.tokenizer, kept.known
         out._take(definition)
         return out
 
@@ -205,14 +249,17 @@ class Encoder:
         cut = pc.extract_regex(pieces, _TAIL)
         words = pc.coalesce(pc.struct_field(cut, "word"), pieces).dictionary_encode()
         tails = pc.fill_null(pc.struct_field(cut, "tail"), "").dictionary_encode()
-        ids, lengths = self._joined(words.dictionary.to_pylist())
-        # A tail is clear of the word before it: behind a word of one id, its ids are all but the first.
-        more, counts = self._joined([f"a{t}" for t in tails.dictionary.to_pylist()])
-        more = np.delete(more, np.cumsum(counts) - counts)
+        ids, lengths = self.known[0].of(words.dictionary, self._joined)
+        more, counts = self.known[1].of(tails.dictionary, self._of_tails)
         both = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(lengths)], axis=1).ravel()
-        found, sizes = _gathered(np.concatenate([ids, more]), np.concatenate([lengths, counts - 1]), both)
+        found, sizes = _gathered(np.concatenate([ids, more]), np.concatenate([lengths, counts]), both)
         return found, sizes[::2] + sizes[1::2]
 
+    def _of_tails(self, tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A tail is clear of the word before it: behind a word of one id, its ids are all but the first."""
+        ids, counts = self._joined([f"a{t}" for t in tails])
+        return np.delete(ids, np.cumsum(counts) - counts), counts - 1
+
     def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As ``_of_pieces``, without cutting.
 

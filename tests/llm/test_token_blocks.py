@@ -119,3 +119,42 @@ def test_pack_takes_as_many_as_fit():
         at, words = at + max(fitting, default=1), words + 1
     packed, escapes = tb.pack(np.array(values, dtype=np.uint64))
     assert len(packed) == words and tb.unpack(packed, escapes).tolist() == values
+
+
+def test_known_words_are_not_encoded_again(plain):
+    encoder = tb.Encoder(tb.defined(tb.tokenizer_json()))
+    sent, joined = [], encoder._joined
+    encoder._joined = lambda pieces: sent.extend(pieces) or joined(pieces)
+    text = f"first of many, many words. {'x' * 65} été 日本 of"
+    assert encoder.encode([text])[0].tolist() == plain(text)
+    assert "words" in sent and len(sent) == len(set(sent))
+    sent.clear()
+    again = f"{text} and many new, words"
+    assert encoder.encode([again])[0].tolist() == plain(again)
+    assert sorted(sent) == sorted(["and", "new", "x" * 65])
+
+
+def test_few_known_words(plain, monkeypatch):
+    monkeypatch.setattr(tb, "KEPT_WORDS", 7)
+    monkeypatch.setattr(tb, "KEPT_TAILS", 2)
+    encoder = tb.Encoder(tb.defined(tb.tokenizer_json()))
+    rnd = random.Random(11)
+    bits = [*TEXTS, "often", "often,", "often.", "the", "été!", "a" * 70, *(f"w{i}." for i in range(9)), *(chr(97 + i) * 3 for i in range(9))]
+    encoder.encode(["x often"])
+    for _ in range(40):
+        texts = [" ".join(rnd.choices(bits, k=rnd.randint(0, 12))) + " often" for _ in range(5)]
+        assert [x.tolist() for x in encoder.encode(texts)] == [plain(t) for t in texts]
+        assert all(len(k.lengths) == len(k.pieces) <= k.most and k.lengths.sum() == len(k.ids) for k in encoder.known)
+    assert "often" in encoder.known[0].pieces.to_pylist()
+
+
+def test_steps():
+    rnd = random.Random(5)
+    for n in (0, 1, 2, 31, 32, 33, 1000):
+        for most in (1, 4, 60):
+            sizes = np.array([rnd.randint(1, most) for _ in range(n)], dtype=np.int64)
+            at, want = 0, []
+            while at < n:
+                want.append(at)
+                at += int(sizes[at])
+            assert tb._steps(sizes).tolist() == want
